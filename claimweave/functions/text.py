@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,33 +118,37 @@ def tokenize(
     return df.withColumns({out: without_stop_words(out, stop_words) for out in texts})
 
 
-def count_terms(df: DataFrame, tokens: str, out: str) -> DataFrame:
-    """Add ``out array<struct<term, tf>>``, counting the row's own ``tokens``.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def count_terms(tokens: Column | str) -> Column:
+    """``array<struct<term, tf>>`` of a token array.
 
     Sorting the array and reading off its run lengths keeps the count inside the row: the
     corpus is not exploded and shuffled only to get term frequencies.
     """
-    at = lambda arr, i: F.get(F.col(arr), i)
-    last = lambda arr: F.size(F.col(arr)) - F.lit(1)
-    run_starts = F.when(
-        F.size("_sorted") > 0,
-        F.filter(
-            F.sequence(F.lit(0), last("_sorted")),
-            lambda i: (i == 0) | (at("_sorted", i) != at("_sorted", i - 1)),
-        ),
-    ).otherwise(F.array().cast("array<int>"))
-    runs = F.transform(
-        F.col("_starts"),
-        lambda start, i: F.struct(
-            at("_sorted", start).alias("term"),
-            (F.coalesce(at("_starts", i + 1), F.size("_sorted")) - start).alias("tf"),
-        ),
-    )
-    return (
-        df.withColumn("_sorted", F.sort_array(F.col(tokens)))
-        .withColumn("_starts", run_starts)
-        .withColumn(out, runs)
-        .drop("_sorted", "_starts")
+
+    def run_starts(terms: Column) -> Column:
+        positions = F.sequence(F.lit(0), F.size(terms) - 1)
+        first = lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1))
+        return F.when(F.size(terms) > 0, F.filter(positions, first)).otherwise(
+            F.array().cast("array<int>")
+        )
+
+    def runs(terms: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda start, i: F.struct(
+                F.get(terms, start).alias("term"),
+                (F.coalesce(F.get(starts, i + 1), F.size(terms)) - start).alias("tf"),
+            ),
+        )
+
+    return _let(
+        F.sort_array(_col(tokens)),
+        lambda terms: _let(run_starts(terms), lambda starts: runs(terms, starts)),
     )
 
 

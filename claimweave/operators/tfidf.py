@@ -37,7 +37,7 @@ def document_terms(
         F.struct(F.lit(v).alias("field_variant"), per_variant[v].alias("tokens")) for v in variants
     ]
     rows = tokens.select("doc_id", F.inline(F.array(*choices)))
-    return tx.count_terms(rows, "tokens", "terms").select("doc_id", "field_variant", "terms")
+    return rows.select("doc_id", "field_variant", tx.count_terms("tokens").alias("terms"))
 
 
 def postings(doc_terms: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def claim_vectors(
 ) -> DataFrame:
     """Unit-length ``(field_variant, query_id, term, query_weight)`` of ``(query_id, claim)``."""
     tokens = tx.tokenize(claims.select("query_id", "claim"), {"_tokens": "claim"}, stop_words)
-    terms = tx.count_terms(tokens, "_tokens", "terms").select("query_id", F.inline("terms"))
+    terms = tokens.select("query_id", F.inline(tx.count_terms("_tokens")))
     weighted = terms.join(F.broadcast(vocabulary), "term").select(
         "field_variant", "query_id", "term", (F.col("tf") * F.col("idf")).alias("_weight")
     )

@@ -55,3 +55,108 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("doc_id").cast("string").alias("doc_id"),
         )
     )
+
+
+def passages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Corpus, claims and judgments of the document/benchmark binding."""
+    return corpus(spark, sf_dir), claims(spark, sf_dir), qrels(spark, sf_dir)
+
+
+def dialog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``conversations``: a user turn is a claim, the assistant's next turn its document."""
+    turns = table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"),
+    )
+    line_end = F.instr("text", "\n")
+    answers = turns.where(F.col("role") == "assistant")
+    documents = answers.select(
+        F.col("id").alias("doc_id"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.when(line_end > 0, F.substring(F.col("text"), line_end + 1, F.length("text")))
+        .otherwise("")
+        .alias("abstract"),
+    )
+    asked = turns.where(F.col("role") == "user")
+    questions = asked.select(F.col("id").alias("query_id"), F.col("text").alias("claim"))
+    judged = asked.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("id").alias("query_id"))
+    judged = judged.join(
+        answers.select("conv_id", "turn", F.col("id").alias("doc_id")), ["conv_id", "turn"]
+    ).select(
+        F.when(F.col("conv_id") % 4 == 0, "test").otherwise("train").alias("split"),
+        "query_id",
+        "doc_id",
+    )
+    return documents, questions, judged
+
+
+def stance_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged pairs with the document's quality label as raw stance word."""
+    words = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.when(F.col("quality") == 1, "SUPPORT").otherwise("CONTRADICT").alias("label"),
+    )
+    return qrels(spark, sf_dir).join(words, "doc_id").select("split", "query_id", "doc_id", "label")
+
+
+def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``labels.quality`` against three simple rules standing in for classifiers."""
+    rows = table(spark, sf_dir, "labels").join(
+        table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang"), "doc_id"
+    )
+    rules = {
+        "long_text": F.col("n_chars") >= 300,
+        "longer_text": F.col("n_chars") >= 1500,
+        "english": F.col("lang") == "en",
+    }
+    cells = F.array(
+        *[
+            F.struct(F.lit(n).alias("classifier"), r.cast("int").alias("prediction_id"))
+            for n, r in rules.items()
+        ]
+    )
+    return rows.select(F.col("quality").alias("label_id"), F.inline(cells))
+
+
+def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``labels`` as classification rows with a split."""
+    return table(spark, sf_dir, "labels").select(
+        F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train").alias("split"),
+        F.when(F.col("quality") == 1, "relevant").otherwise("not_relevant").alias("label"),
+        F.col("quality").alias("label_id"),
+    )
+
+
+def vector_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` keyed by a string id."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("doc_id"), "embedding", "label"
+    )
+
+
+def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its successor."""
+    left = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("q"))
+    right = table(spark, sf_dir, "embeddings").select(
+        (F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("d")
+    )
+    return left.join(right, "vec_id")
+
+
+def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer and status as stance counts, mean price as a coverage score."""
+    status = F.col("o_orderstatus")
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(
+            F.count_if(status == "F").alias("supports"),
+            F.count_if(status == "O").alias("refutes"),
+            F.count_if(status == "P").alias("nei"),
+            F.round(F.avg("o_totalprice") / 450000, 6).alias("avg_cos"),
+            F.round(F.max("o_totalprice") / 550000, 6).alias("max_cos"),
+        )
+    )
