@@ -122,7 +122,9 @@ def hard_negatives(
         .select(
             "field_variant",
             "query_id",
-            F.explode(F.sequence(F.lit(0), F.col("_size") - 1)).cast("bigint").alias("rank"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_size").cast("bigint") - 1)).alias(
+                "rank"
+            ),
         )
     )
     fill = pos.pick_outside(ranks, taken, positions, ["field_variant", "query_id"], n_docs)

@@ -72,7 +72,7 @@ DIALOG = {
 }
 
 STANCE = {
-    **PASSAGES,
+    **{name: PASSAGES[name] for name in ("corpus", "claims", "qrels")},
     "evidence": "SELECT split, query_id, q.doc_id, "
     "CASE WHEN quality = 1 THEN 'SUPPORTS' ELSE 'REFUTES' END AS label "
     "FROM qrels q JOIN labels l ON l.doc_id::VARCHAR = q.doc_id",
@@ -576,8 +576,8 @@ def oracle_sql() -> dict[str, str]:
             SUMMARY,
             "SELECT query_id, supports, refutes, nei, uncertain, round(avg_cos, 6) AS avg_cos, "
             f"round(max_cos, 6) AS max_cos, {coverage(TEXT_SEARCH)} AS coverage, test_status, "
-            "round(support_share, 6) AS support_share, round(wilson_low, 6) AS wilson_low, "
-            "round(wilson_high, 6) AS wilson_high, round(p_value, 6) AS p_value, verdict, "
+            "round(support_share, 6) AS support_share, round(wilson_low + 1e-12, 6) AS wilson_low, "
+            "round(wilson_high + 1e-12, 6) AS wilson_high, round(p_value + 1e-12, 6) AS p_value, verdict, "
             f"{trend(TEXT_SEARCH)} AS trend FROM counted JOIN directed USING (query_id)",
         ),
         "binomial_test": sql(
@@ -585,20 +585,20 @@ def oracle_sql() -> dict[str, str]:
                 **COUNTS,
                 "pv": two_sided("supports", "supports + refutes", "cc", "o_custkey"),
             },
-            "SELECT o_custkey, supports, supports + refutes AS n, round(p_value, 9) AS p_value "
+            "SELECT o_custkey, supports, supports + refutes AS n, round(p_value + 1e-12, 9) AS p_value "
             "FROM cc LEFT JOIN pv USING (o_custkey)",
         ),
         "wilson_interval": sql(
             COUNTS,
             "SELECT o_custkey, "
-            f"CASE WHEN n > 0 THEN round({wilson('supports', 'n', '-')}, 9) END AS wilson_low, "
-            f"CASE WHEN n > 0 THEN round({wilson('supports', 'n', '+')}, 9) END AS wilson_high FROM gated",
+            f"CASE WHEN n > 0 THEN round({wilson('supports', 'n', '-')} + 1e-12, 9) END AS wilson_low, "
+            f"CASE WHEN n > 0 THEN round({wilson('supports', 'n', '+')} + 1e-12, 9) END AS wilson_high FROM gated",
         ),
         "directional_test": sql(
             COUNTS,
             "SELECT o_custkey, test_status, round(support_share, 6) AS support_share, "
-            "round(wilson_low, 6) AS wilson_low, round(wilson_high, 6) AS wilson_high, "
-            "round(p_value, 6) AS p_value, verdict FROM directed",
+            "round(wilson_low + 1e-12, 6) AS wilson_low, round(wilson_high + 1e-12, 6) AS wilson_high, "
+            "round(p_value + 1e-12, 6) AS p_value, verdict FROM directed",
         ),
         "coverage_class": sql(COUNTS, f"SELECT o_custkey, {coverage(COUNT_PARAMS)} AS coverage FROM cc"),
         "evidence_trend": sql(COUNTS, f"SELECT o_custkey, {trend(TREND_PARAMS)} AS trend FROM cc"),
