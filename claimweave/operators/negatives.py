@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from claimweave.config import FIELD_VARIANTS, NegativeParams
 from claimweave.operators import positions as pos
 from claimweave.operators import tfidf
-from claimweave.session import stage
+from claimweave.session import run_together, stage
+
+# Exclusions up to which a claim is cut to its best documents before they are applied.
+EXCLUSION_SLACK = 64
 
 
 def _draw(seed: int, slot: Column, upper: Column) -> Column:
@@ -63,9 +66,40 @@ def random_negatives(
     return pos.pick_outside(ranks, placed, positions, ["query_id"], n_docs)
 
 
+def top_outside(
+    score: Callable[[DataFrame], DataFrame],
+    vectors: DataFrame,
+    excluded: DataFrame,
+    k: int,
+    slack: int = EXCLUSION_SLACK,
+) -> DataFrame:
+    """Top ``k`` of ``score(vectors)`` per (variant, claim) outside ``excluded``.
+
+    A claim with at most ``slack`` exclusions is cut to its top ``k + slack`` where the scores
+    arise, and only those rows meet the exclusions. Claims with more (there can be no more than
+    ``1 / slack`` of the exclusions) have all their scores compared.
+    """
+    heavy = stage(
+        excluded.groupBy("query_id").agg(F.count("*").alias("_n")).where(F.col("_n") > slack),
+        "heavy_claims",
+    ).select("query_id")
+    pairs = ["query_id", "doc_id"]
+    if heavy.isEmpty():
+        kept = tfidf.top_similar(score(vectors), k + slack).join(excluded, pairs, "left_anti")
+    else:
+        light = tfidf.top_similar(
+            score(vectors.join(heavy, "query_id", "left_anti")), k + slack
+        ).join(excluded, pairs, "left_anti")
+        rest = score(vectors.join(heavy, "query_id", "left_semi")).join(
+            excluded, pairs, "left_anti"
+        )
+        kept = light.drop("rank").unionByName(rest)
+    return tfidf.top_similar(kept, k).select("field_variant", "query_id", "doc_id", "score")
+
+
 def hard_negatives(
     claims: DataFrame,
-    scored: DataFrame,
+    top: DataFrame,
     excluded: DataFrame,
     positions: DataFrame,
     n_docs: int,
@@ -74,16 +108,10 @@ def hard_negatives(
 ) -> DataFrame:
     """The ``k`` most similar documents per (variant, claim) outside ``excluded``.
 
-    ``scored`` comes from :func:`tfidf.similarity`. A claim that shares a term with fewer than
-    ``k`` allowed documents is filled with documents of score zero, all of which tie; they are
-    taken in position order. Result: ``(field_variant, query_id, doc_id, score)``.
+    ``top`` is the staged result of :func:`top_outside`. A claim that shares a term with fewer
+    than ``k`` allowed documents is filled with documents of score zero, all of which tie; they
+    are taken in position order. Result: ``(field_variant, query_id, doc_id, score)``.
     """
-    top = stage(
-        tfidf.top_similar(scored, k, excluded).select(
-            "field_variant", "query_id", "doc_id", "score"
-        ),
-        "hard_scored",
-    )
     found = top.groupBy("field_variant", "query_id").agg(F.count("*").alias("_found"))
     keys = F.explode(F.array(*[F.lit(v) for v in variants])).alias("field_variant")
     lacking = (
@@ -143,32 +171,36 @@ def choose_negatives(
     Random picks are the same in every variant, hard picks follow each variant's own index.
     """
     variants = tuple(variants)
-    positions = stage(pos.document_positions(corpus), "positions")
-    n_docs = positions.count()
     excluded = excluded.select("query_id", "doc_id").distinct()
     claims = claims.select("query_id", "claim").dropDuplicates(["query_id"])
-    randoms = stage(
-        random_negatives(claims, excluded, positions, n_docs, params.n_random, params.seed),
-        "random",
-    )
+
+    def sample():
+        positions = stage(pos.document_positions(corpus), "positions")
+        n_docs = positions.count()
+        picks = random_negatives(
+            claims, excluded, positions, n_docs, params.n_random, params.seed
+        )
+        return positions, n_docs, stage(picks, "random")
+
+    def index():
+        terms = stage(tfidf.document_terms(corpus, variants, params.stop_words), "document_terms")
+        n_docs = corpus.select("doc_id").distinct().count()
+        vocabulary = tfidf.build_vocabulary(terms, n_docs, params.min_df, params.max_features)
+        vectors = tfidf.claim_vectors(claims, vocabulary, params.stop_words)
+        return terms, vocabulary, stage(vectors, "claim_vectors")
+
     by_variant = F.explode(F.array(*[F.lit(v) for v in variants])).alias("field_variant")
-    out = randoms.select(by_variant, "query_id", "doc_id", F.lit("random").alias("kind"))
     if params.n_hard <= 0:
-        return out
-    terms = stage(tfidf.document_terms(corpus, variants, params.stop_words), "document_terms")
-    vocabulary = tfidf.build_vocabulary(terms, n_docs, params.min_df, params.max_features)
-    vectors = stage(
-        tfidf.claim_vectors(claims, vocabulary, params.stop_words), "claim_vectors"
+        _, _, randoms = sample()
+        return randoms.select(by_variant, "query_id", "doc_id", F.lit("random").alias("kind"))
+    (positions, n_docs, randoms), (terms, vocabulary, vectors) = run_together(sample, index)
+    taken = excluded.unionByName(randoms)
+    top = top_outside(
+        lambda part: tfidf.similarity(terms, vocabulary, part), vectors, taken, params.n_hard
     )
     hard = hard_negatives(
-        claims,
-        tfidf.similarity(terms, vocabulary, vectors),
-        excluded.unionByName(randoms),
-        positions,
-        n_docs,
-        params.n_hard,
-        variants,
-    )
-    return out.unionByName(
-        hard.select("field_variant", "query_id", "doc_id", F.lit("hard").alias("kind"))
+        claims, stage(top, "hard_scored"), taken, positions, n_docs, params.n_hard, variants
     )
+    return randoms.select(
+        by_variant, "query_id", "doc_id", F.lit("random").alias("kind")
+    ).unionByName(hard.select("field_variant", "query_id", "doc_id", F.lit("hard").alias("kind")))

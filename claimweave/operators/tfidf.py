@@ -15,6 +15,9 @@ from claimweave.session import stage
 # decide between documents of equal score.
 SCORE_DECIMALS = 6
 
+# Rows of claim vectors broadcast at a time (some 100 bytes each).
+CLAIM_TERM_ROWS = 2_000_000
+
 
 def document_terms(
     corpus: DataFrame,
@@ -138,23 +141,22 @@ def claim_vectors(
     )
 
 
-def similarity(doc_terms: DataFrame, vocabulary: DataFrame, claims: DataFrame) -> DataFrame:
-    """Cosine of every (claim, document) with a common term, per variant.
+def gather_documents(
+    doc_terms: DataFrame, vocabulary: DataFrame, claims: DataFrame
+) -> DataFrame:
+    """``(field_variant, doc_id, norm, entries array<struct<term, weight>>)``.
 
-    ``claims`` is the staged output of :func:`claim_vectors`. Documents are gathered by
-    (variant, doc_id) once, with only the terms some claim uses; norms come from all terms.
-    From there on the claims are joined in (broadcast while they are small) and summed per
-    (document, claim) inside the same partitioning, so the scored pairs are never shuffled
-    before they are cut to the top of each claim.
+    The norm is over all vocabulary terms, the entries are only those some claim uses. The
+    result is partitioned by (variant, document).
     """
     asked = claims.select("field_variant", "term").distinct().withColumn("_asked", F.lit(True))
     terms = vocabulary.select("field_variant", "term", "idf").join(
         asked, ["field_variant", "term"], "left"
     )
     weight = F.col("tf") * F.col("idf")
-    documents = (
+    return (
         postings(doc_terms)
-        .join(F.broadcast(terms), ["field_variant", "term"])
+        .join(F.broadcast(terms), ["field_variant", "term"])  # bounded by the feature cap
         .groupBy("field_variant", "doc_id")
         .agg(
             F.sqrt(F.sum(weight * weight)).alias("norm"),
@@ -163,31 +165,40 @@ def similarity(doc_terms: DataFrame, vocabulary: DataFrame, claims: DataFrame) -
             ).alias("entries"),
         )
     )
-    return (
-        documents.select("field_variant", "doc_id", "norm", F.inline("entries"))
-        .join(claims, ["field_variant", "term"])
-        .groupBy("field_variant", "doc_id", "query_id")
-        .agg(F.sum(F.col("query_weight") * F.col("weight") / F.col("norm")).alias("_score"))
-        .select(
-            "field_variant",
-            "query_id",
-            "doc_id",
-            F.round("_score", SCORE_DECIMALS).alias("score"),
+
+
+def similarity(doc_terms: DataFrame, vocabulary: DataFrame, claims: DataFrame) -> DataFrame:
+    """Cosine of every (claim, document) with a common term, per variant.
+
+    ``claims`` is the staged output of :func:`claim_vectors`. Documents are gathered by
+    (variant, document) once; the claims are then broadcast against them and summed per
+    (document, claim) inside the same partitioning. So postings are never shuffled by term,
+    however frequent it is, and scored pairs are not shuffled before they are cut to the top
+    of each claim. Claim terms beyond ``CLAIM_TERM_ROWS`` are broadcast block by block, each
+    claim in one block; all blocks read the one shuffle of the documents.
+    """
+    documents = gather_documents(doc_terms, vocabulary, claims)
+    blocks = max(1, -(-claims.count() // CLAIM_TERM_ROWS))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    scored = None
+    for i in range(blocks):
+        part = claims if blocks == 1 else claims.where(block == i)
+        part_scored = (
+            documents.select("field_variant", "doc_id", "norm", F.inline("entries"))
+            .join(F.broadcast(part), ["field_variant", "term"])
+            .groupBy("field_variant", "doc_id", "query_id")
+            .agg(F.sum(F.col("query_weight") * F.col("weight") / F.col("norm")).alias("_score"))
         )
-        .where(F.col("score") > 0)
-    )
+        scored = part_scored if scored is None else scored.unionByName(part_scored)
+    return scored.select(
+        "field_variant", "query_id", "doc_id", F.round("_score", SCORE_DECIMALS).alias("score")
+    ).where(F.col("score") > 0)
 
 
-def top_similar(
-    scored: DataFrame, k: int, excluded: DataFrame | None = None
-) -> DataFrame:
+def top_similar(scored: DataFrame, k: int) -> DataFrame:
     """Best ``k`` documents per (variant, claim): score descending, then ``doc_id``.
 
-    ``excluded`` holds ``(query_id, doc_id)`` pairs that may not appear.
+    Each task first cuts its own rows to ``k`` per claim, so the shuffle carries only those.
     """
-    if excluded is not None:
-        scored = scored.join(excluded, ["query_id", "doc_id"], "left_anti")
     best = Window.partitionBy("field_variant", "query_id").orderBy(F.desc("score"), "doc_id")
-    return (
-        scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    )
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -24,9 +24,10 @@ from claimweave.session import stage
 def attach_texts(
     pairs: DataFrame, claims: DataFrame, corpus: DataFrame, labels: dict[str, int]
 ) -> DataFrame:
-    """Full pair rows from ``(split, field_variant, query_id, doc_id, label)``.
+    """Full pair rows from staged ``(split, field_variant, query_id, doc_id, label)``.
 
-    Sampling works on ids; texts join only here, for the sampled pairs.
+    Sampling works on ids; texts join only here, for the sampled pairs. The corpus comes first:
+    while the ids are small they are broadcast and the texts stay where they are read.
     """
     columns: dict[str, Column] = {
         "claim": F.col("claim"),
@@ -35,8 +36,8 @@ def attach_texts(
         "document_text": tx.document_text("title", "abstract", F.col("field_variant")),
         "label_id": label_to_id("label", labels),
     }
-    joined = pairs.join(claims.select("query_id", "claim"), "query_id").join(
-        corpus.select("doc_id", "title", "abstract"), "doc_id"
+    joined = pairs.join(corpus.select("doc_id", "title", "abstract"), "doc_id").join(
+        claims.select("query_id", "claim"), "query_id"
     )
     return joined.select(*[columns.get(n, F.col(n)).alias(n) for n in PAIR_SCHEMA.names])
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs want on a cluster. Everything also runs with Spark's defaults.
@@ -13,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Sampled ids filter the corpus before its text is shuffled, also beyond broadcast size.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -57,3 +62,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_root(spark)}/claimweave-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(*steps: Callable[[], object]) -> list:
+    """Run independent steps that submit Spark jobs side by side; their results in order."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        futures = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return [f.result() for f in futures]

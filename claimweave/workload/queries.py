@@ -215,7 +215,8 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
 def tfidf_similarity(spark: SparkSession, sf: str) -> DataFrame:
     terms, vocabulary = _index(spark, sf)
     vectors = stage(tfidf.claim_vectors(bd.claims(spark, sf), vocabulary), "claim_vectors")
-    return tfidf.top_similar(tfidf.similarity(terms, vocabulary, vectors), 20)
+    top = tfidf.top_similar(tfidf.similarity(terms, vocabulary, vectors), 20)
+    return top.select("field_variant", "query_id", "doc_id", "score", "rank")
 
 
 def random_negatives(spark: SparkSession, sf: str) -> DataFrame:
