@@ -184,7 +184,7 @@ def choose_negatives(
 
     def index():
         terms = stage(tfidf.document_terms(corpus, variants, params.stop_words), "document_terms")
-        n_docs = corpus.select("doc_id").distinct().count()
+        n_docs = corpus.count()
         vocabulary = tfidf.build_vocabulary(terms, n_docs, params.min_df, params.max_features)
         vectors = tfidf.claim_vectors(claims, vocabulary, params.stop_words)
         return terms, vocabulary, stage(vectors, "claim_vectors")
@@ -193,7 +193,9 @@ def choose_negatives(
     if params.n_hard <= 0:
         _, _, randoms = sample()
         return randoms.select(by_variant, "query_id", "doc_id", F.lit("random").alias("kind"))
-    (positions, n_docs, randoms), (terms, vocabulary, vectors) = run_together(sample, index)
+    (positions, n_docs, randoms), (terms, vocabulary, vectors) = run_together(
+        corpus.sparkSession, sample, index
+    )
     taken = excluded.unionByName(randoms)
     top = top_outside(
         lambda part: tfidf.similarity(terms, vocabulary, part), vectors, taken, params.n_hard

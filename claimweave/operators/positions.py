@@ -22,12 +22,12 @@ RANGES = 1024
 
 
 def document_positions(doc_ids: DataFrame) -> DataFrame:
-    """``(doc_id, position)``: rank of every distinct document in md5 order.
+    """``(doc_id, position)``: rank of every document in md5 order. Ids are unique.
 
     The rank is taken inside hash buckets and shifted by the size of the earlier buckets, so
     no task ever sorts more than its buckets.
     """
-    ids = doc_ids.select("doc_id").distinct().withColumn("_hash", F.md5("doc_id"))
+    ids = doc_ids.select("doc_id").withColumn("_hash", F.md5("doc_id"))
     ids = ids.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
     sizes = ids.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

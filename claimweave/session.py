@@ -56,16 +56,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage (a lost executor costs only the running tasks), keeps columns
     prunable, and gives the planner the true size, so that it broadcasts the table exactly
-    when it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    when it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. All
+    tables of an application lie under one folder, to be dropped when its results are stored.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/claimweave-{uuid.uuid4().hex}/{name}"
+    application = f"claimweave-{spark.sparkContext.applicationId}"
+    path = f"{staging_root(spark)}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_together(*steps: Callable[[], object]) -> list:
+def run_together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run independent steps that submit Spark jobs side by side; their results in order."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        futures = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        futures = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
         return [f.result() for f in futures]

@@ -232,3 +232,15 @@ def test_similarity_plan_has_no_pair_shuffle(spark, sf_dir):
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert len(exchanges) == 3
     assert not any("doc_id" in e and "query_id" in e for e in exchanges)
+
+
+def test_corpus_text_is_not_shuffled_for_small_samples(spark, tmp_path):
+    corpus, claims, qrels = frames(spark, small_world())
+    corpus.write.parquet(str(tmp_path / "corpus"))
+    corpus = spark.read.parquet(str(tmp_path / "corpus"))
+    claims.write.parquet(str(tmp_path / "claims"))
+    claims = spark.read.parquet(str(tmp_path / "claims"))
+    pairs = build_relevance_pairs(corpus, claims, qrels)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2
+    assert "Exchange hashpartitioning" not in plan

@@ -1,0 +1,150 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from claimweave.functions import vectors as vx
+from claimweave.operators import encode as en
+from claimweave.operators import retrieval as rt
+from claimweave.operators.moments import feature_moments
+from claimweave.plans.encoding import encode_corpus
+from claimweave.sources.artifacts import vector_store_integrity
+
+
+def unit_rows(n, dim, seed, copies=0):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dim))
+    v[:copies] = v[0]
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def as_frame(spark, matrix, prefix, id_column):
+    data = [(f"{prefix}{i}", [float(x) for x in row]) for i, row in enumerate(matrix)]
+    return spark.createDataFrame(data, f"{id_column} string, embedding array<float>")
+
+
+def test_pair_features(spark):
+    df = spark.createDataFrame([([1.0, 0.0], [0.6, 0.8])], "q array<double>, d array<double>")
+    got = df.select(vx.pair_features("q", "d"), vx.concat_features("q", "d")).first()
+    assert got[0] == pytest.approx([1, 0, 0.6, 0.8, 0.4, 0.8, 0.6, 0, 0.6])
+    assert got[1] == [1, 0, 0.6, 0.8]
+
+
+def test_normalize_keeps_the_zero_vector(spark):
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<double>")
+    got = [r[0] for r in df.select(vx.l2_normalize("v")).collect()]
+    assert got == [[0.6, 0.8], [0.0, 0.0]]
+
+
+def test_linear_scores_dense_and_sparse_weights(spark):
+    x = [float(i) for i in range(20)]
+    sparse, dense = [0.0] * 20, [0.5] * 20
+    sparse[3] = 2.0
+    df = spark.createDataFrame([(x,)], "x array<double>")
+    got = df.select(vx.linear_scores("x", [sparse, dense], [1.0, -1.0])).first()[0]
+    assert got == pytest.approx([7.0, 94.0])
+    soft = df.select(vx.softmax(F.array(F.lit(1000.0), F.lit(1000.0)))).first()[0]
+    assert soft == pytest.approx([0.5, 0.5])
+
+
+def brute_top(claims, store, k):
+    scores = np.round(claims.astype(np.float32).astype(float) @ store.astype(np.float32).astype(float).T, 6)
+    out = set()
+    for i, row in enumerate(scores):
+        order = sorted(range(len(store)), key=lambda j: (-row[j], f"d{j}"))[:k]
+        out |= {(f"q{i}", f"d{j}", r + 1) for r, j in enumerate(order)}
+    return out
+
+
+@pytest.mark.parametrize("claim_block", [100, 4])
+@pytest.mark.parametrize("copies", [0, 120])
+def test_top_k_equals_brute_force(spark, monkeypatch, claim_block, copies):
+    # With copies, a third of the store ties at every cut.
+    monkeypatch.setattr(rt, "CELLS", 200)
+    claims, store = unit_rows(10, 8, 1), unit_rows(360, 8, 2, copies)
+    hits = rt.cosine_top_k(
+        as_frame(spark, claims, "q", "query_id"),
+        as_frame(spark, store, "d", "doc_id").repartition(5),
+        k=7,
+        claim_block=claim_block,
+        store_block=100,
+    )
+    got = {(r.query_id, r.doc_id, r["rank"]) for r in hits.collect()}
+    assert got == brute_top(claims, store, 7)
+
+
+def test_small_store_returns_fewer_hits(spark):
+    claims, store = unit_rows(2, 4, 1), unit_rows(3, 4, 2)
+    hits = rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id"), k=50)
+    assert hits.count() == 6
+    assert all(abs(r.cosine) <= 1 for r in hits.collect())
+
+
+def test_no_claims_and_empty_partitions(spark):
+    claims, store = unit_rows(2, 4, 1), unit_rows(3, 4, 2)
+    none = as_frame(spark, claims, "q", "query_id").where("false")
+    assert rt.cosine_top_k(none, as_frame(spark, store, "d", "doc_id"), k=5).count() == 0
+    spread = as_frame(spark, store, "d", "doc_id").repartition(9)
+    assert rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), spread, k=5).count() == 6
+
+
+def test_top_k_plan_cuts_before_the_shuffle(spark):
+    claims, store = unit_rows(2, 4, 1), unit_rows(30, 4, 2)
+    hits = rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id"), k=3)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("WindowGroupLimit") == 2
+    assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_rerank_and_coverage(spark):
+    df = spark.createDataFrame(
+        [("q", "a", 0.9, 0.1), ("q", "b", 0.7, 0.8), ("q", "c", 0.8, 0.8)],
+        "query_id string, doc_id string, cosine double, p_stance double",
+    )
+    assert rows(rt.rerank_by_stance(df, 2), "rank", "doc_id") == [(1, "c"), (2, "b")]
+    cov = rt.retrieval_coverage(df).first()
+    assert (cov.avg_cos, cov.max_cos) == (pytest.approx(0.8), 0.9)
+
+
+def test_moments_use_the_population(spark):
+    df = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "f array<double>")
+    assert rows(feature_moments(df, "f"), "position", "mean", "std") == [(0, 2.0, 1.0), (1, 5.0, 0.0)]
+
+
+def test_hashed_encoder_vectors(spark):
+    corpus = spark.createDataFrame(
+        [("1", "Alpha", "beta beta the"), ("2", "", "")], "doc_id string, title string, abstract string"
+    )
+    store = {r.doc_id: r for r in encode_corpus(corpus, en.HashedTermEncoder(dim=16)).collect()}
+    assert np.linalg.norm(store["1"].embedding) == pytest.approx(1.0, abs=1e-6)
+    assert set(store["2"].embedding) == {0.0}
+    only_beta = encode_corpus(corpus, en.HashedTermEncoder(dim=16, idf={"beta": 2.0})).first()
+    assert sorted(only_beta.embedding)[-1] == 1.0
+
+
+def test_custom_encoder_sees_role_prefixes(spark):
+    class LengthEncoder:
+        """Stands in for a neural encoder: shows what text it was given."""
+
+        query_prefix, passage_prefix = "query: ", "passage: "
+
+        def make_predict_fn(self):
+            return lambda texts: np.array(
+                [[len(t), t.startswith("query: ")] for t in texts], dtype=float
+            )
+
+    claims = spark.createDataFrame([("q", "abc")], "query_id string, claim string")
+    v = en.encode_claims(claims, LengthEncoder()).first().embedding
+    assert v == pytest.approx(np.array([10, 1]) / np.sqrt(101))
+
+
+def test_store_integrity(spark):
+    df = spark.createDataFrame(
+        [("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", None), ("c", [1.0])],
+        "doc_id string, embedding array<float>",
+    )
+    got = vector_store_integrity(df).first()
+    assert (got.n_rows, got.n_duplicate_ids, got.n_null_vectors, got.min_dim, got.max_dim) == (4, 1, 1, 1, 2)
