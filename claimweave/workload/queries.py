@@ -422,7 +422,7 @@ def linear_stance_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored_vector_hits(spark: SparkSession, sf: str) -> DataFrame:
     claims, store, hits = _vector_hits(spark, sf)
-    return search.score_hits(hits, claims, store, vector_scorer())
+    return search.score_hits(stage(hits, "hits"), claims, store, vector_scorer())
 
 
 def stance_counts(spark: SparkSession, sf: str) -> DataFrame:

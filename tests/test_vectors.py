@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from claimweave.functions import vectors as vx
 from claimweave.operators import encode as en
 from claimweave.operators import retrieval as rt
+from claimweave.operators.models import linear_scorer
 from claimweave.operators.moments import feature_moments
 from claimweave.plans.encoding import encode_corpus
+from claimweave.plans.search import score_hits
+from claimweave.session import stage
 from claimweave.sources.artifacts import vector_store_integrity
 
 
@@ -99,6 +102,20 @@ def test_top_k_plan_cuts_before_the_shuffle(spark):
     assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
 
 
+def test_store_stays_in_place_while_hits_are_small(spark, tmp_path):
+    claims, store = unit_rows(2, 4, 1), unit_rows(30, 4, 2)
+    claims, store = as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id")
+    store.write.parquet(str(tmp_path / "store"))
+    claims.write.parquet(str(tmp_path / "claims"))
+    store, claims = spark.read.parquet(str(tmp_path / "store")), spark.read.parquet(str(tmp_path / "claims"))
+    hits = stage(rt.cosine_top_k(claims, store, k=3), "hits")
+    scorer = linear_scorer([[0.0] * 17, [1.0] * 17, [-1.0] * 17], [0.0, 0.0, 0.0])
+    scored = score_hits(hits, claims, store, scorer)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    assert scored.count() == 6
+
+
 def test_rerank_and_coverage(spark):
     df = spark.createDataFrame(
         [("q", "a", 0.9, 0.1), ("q", "b", 0.7, 0.8), ("q", "c", 0.8, 0.8)],
