@@ -542,7 +542,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "retrieval_coverage": sql(
             VECTOR_HITS,
-            "SELECT query_id, round(avg(cosine), 6) AS avg_cos, round(max(cosine), 6) AS max_cos "
+            "SELECT query_id, round(avg(cosine) + 1e-12, 6) AS avg_cos, round(max(cosine), 6) AS max_cos "
             "FROM hits GROUP BY query_id",
         ),
         "linear_stance_scores": sql(
@@ -574,9 +574,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "evidence_summary": sql(
             SUMMARY,
-            "SELECT query_id, supports, refutes, nei, uncertain, round(avg_cos, 6) AS avg_cos, "
-            f"round(max_cos, 6) AS max_cos, {coverage(TEXT_SEARCH)} AS coverage, test_status, "
-            "round(support_share, 6) AS support_share, round(wilson_low + 1e-12, 6) AS wilson_low, "
+            "SELECT query_id, supports, refutes, nei, uncertain, round(avg_cos + 1e-12, 6) AS avg_cos, "
+            f"round(max_cos + 1e-12, 6) AS max_cos, {coverage(TEXT_SEARCH)} AS coverage, test_status, "
+            "round(support_share + 1e-12, 6) AS support_share, round(wilson_low + 1e-12, 6) AS wilson_low, "
             "round(wilson_high + 1e-12, 6) AS wilson_high, round(p_value + 1e-12, 6) AS p_value, verdict, "
             f"{trend(TEXT_SEARCH)} AS trend FROM counted JOIN directed USING (query_id)",
         ),
@@ -596,7 +596,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "directional_test": sql(
             COUNTS,
-            "SELECT o_custkey, test_status, round(support_share, 6) AS support_share, "
+            "SELECT o_custkey, test_status, round(support_share + 1e-12, 6) AS support_share, "
             "round(wilson_low + 1e-12, 6) AS wilson_low, round(wilson_high + 1e-12, 6) AS wilson_high, "
             "round(p_value + 1e-12, 6) AS p_value, verdict FROM directed",
         ),
