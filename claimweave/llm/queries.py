@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, exact_dedup, sharding
+from claimweave.llm import bpe, exact_dedup, language, quality, sharding
+from claimweave.llm.common import id_bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket("doc_id", 4) == 2
+    model = language.fit_languages(docs.where(~held_out))
+    return language.identify(docs, model, keep={"held_out": held_out}).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """16 shards with equal row counts (to one) and equal mixtures of sources."""
@@ -39,6 +49,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels of four of five folds."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = id_bucket("doc_id", 5) == 0
+    model = quality.fit_quality(quality.training_rows(docs, labels.where(~held_out)))
+    return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
