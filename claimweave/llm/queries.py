@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, decontaminate, exact_dedup, language, pii, quality, sharding
+from claimweave.llm import bpe, decontaminate, exact_dedup, language, pii, quality, secrets, sharding
 from claimweave.llm.common import id_bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets the forest keeps, by place and digest; the strings themselves are not repeated."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents")).where("secret")
+    return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
