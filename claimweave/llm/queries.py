@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, decontaminate, exact_dedup, language, pii, quality, secrets, sharding
+from claimweave.llm import bpe, decontaminate, exact_dedup, language, ngram_join, pii, quality, secrets, sharding
 from claimweave.llm.common import id_bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, keep={"held_out": held_out}).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links of at least 0.9 between sets of three-word shingles."""
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), ngram_join.JoinParams(width=3, percent=90))
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """16 shards with equal row counts (to one) and equal mixtures of sources."""
