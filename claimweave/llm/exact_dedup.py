@@ -68,13 +68,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return members.unionByName(alone)
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept.
 
-    For rows with unique ids; where an id repeats with equal text, those rows stay together.
+    Rows are found again by id, and where an id occurs on several rows also by text.
     """
-    groups = exact_groups(docs)
-    gone = stage(groups.where("not kept").select(F.col("doc_id").alias("gone_id")), "dedup-gone")
-    gone = gone.join(groups.where("kept").select(F.col("doc_id").alias("gone_id")), "gone_id", "left_anti").distinct()
-    gone = stage(gone, "dedup-gone-ids")
-    return docs.join(small(gone, gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    groups = stage(exact_groups(docs, id_col, text_col), "dedup-groups")
+    repeated = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    repeated = stage(repeated, "dedup-repeated")
+    several = repeated.count()
+    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = stage(gone.unionByName(repeated.select(F.col("_again").alias("_gone"))).distinct(), "dedup-gone")
+    out = docs.join(small(gone, gone.count()), F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    if not several:
+        return out
+    again = docs.join(small(repeated, several), F.col(id_col).eqNullSafe(F.col("_again")), "left_semi")
+    again = again.withColumn("_digest", F.sha2(normalised(text_col), 256))
+    lost = groups.where("not (doc_id <=> keep_id)").select(F.col("doc_id").alias("_lost"), F.col("text_sha256").alias("_sha")).distinct()
+    again = again.join(lost, F.col(id_col).eqNullSafe(F.col("_lost")) & (F.col("_digest") == F.col("_sha")), "left_anti")
+    return out.unionByName(again.dropDuplicates([id_col, "_digest"]).drop("_digest"))
