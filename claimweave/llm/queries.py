@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, decontaminate, exact_dedup, language, ngram_join, pii, quality, secrets, sharding
+from claimweave.llm import bpe, decontaminate, exact_dedup, language, ngram_join, passages, pii, quality, secrets, sharding
 from claimweave.llm.common import id_bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets the forest keeps, by place and digest; the strings themselves are not repeated."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents")).where("secret")
     return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
+@query
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat, at similarity 0.8 or more, in another document."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
