@@ -48,11 +48,13 @@ _LETTER: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
-    """For each code point, itself if it is a letter, else 0."""
+    """For each code point its lower case if it is a letter, else 0."""
     if not _LETTER:
-        points = np.arange(0x110000, dtype=np.uint32)
-        known = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        _LETTER.append(np.where(known, points, 0).astype(np.uint32))
+        table = np.zeros(0x110000, np.uint64)
+        for i in range(0x110000):
+            if (c := chr(i)).isalpha():
+                table[i] = ord(low) if len(low := c.lower()) == 1 else i
+        _LETTER.append(table)
     return _LETTER[0]
 
 
@@ -63,12 +65,10 @@ def term_counts(text: str | None, params: LanguageParams) -> np.ndarray | None:
     """
     total = np.zeros(params.buckets, np.int64)
     seen = False
-    step, rim = 1 << 20, params.longest
-    text = text or ""
-    for at in range(0, max(len(text), 1), step):
-        piece = text[at : at + step + rim - 1].lower()
-        points = np.frombuffer(f" {piece} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-        points = _letters()[points].astype(np.uint64)
+    text, step = f" {text or ''} ", 1 << 20
+    for at in range(0, len(text), step):
+        piece = text[at : at + step + params.longest - 1]
+        points = _letters()[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)]
         seen = seen or bool(points.any())
         grams = points
         for n in range(1, params.longest + 1):
@@ -76,8 +76,8 @@ def term_counts(text: str | None, params: LanguageParams) -> np.ndarray | None:
                 if len(points) < n:
                     break
                 grams = grams[:-1] * np.uint64(0x1F0D3804) + points[n - 1 :]
-            # A gram counts if it has a letter: words are told apart by the single blanks around them.
-            keep = grams[grams != 0]
+            own = grams[:step]  # the rest begin in the next piece
+            keep = own[own != 0]  # a gram without a letter tells nothing
             total += np.bincount(mix64(keep, n) % np.uint64(params.buckets), minlength=params.buckets)
     return total if seen else None
 

@@ -171,4 +171,4 @@ def training_rows(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     chosen = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit(params.seed)), "doc_id").limit(params.sample_rows)
     chosen = stage(chosen.select(F.col("doc_id").alias("_id"), "label"), "quality-labels")
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "label")
