@@ -13,7 +13,7 @@ from claimweave.session import stage
 
 # A set of ids is broadcast up to this many rows (16 bytes each before hashing); beyond it
 # Spark shuffles both sides by id. The rows that come out are the same.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 1_000_000
 
 # Space and the five controls from tab to carriage return: the only white space that counts.
 WHITE = "[\\x20\\x09-\\x0D]"

@@ -103,21 +103,46 @@ def _prefixes(sets: DataFrame, frequent: list[int], params: JoinParams) -> DataF
     return sets.select("node", "n", "tokens").mapInArrow(order, f"node long, n long, common double, {longs}")
 
 
+def _of(frame: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of ``frame`` whose node is in ``pairs``."""
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    return frame.join(small(ids, ids.count()), "node", "left_semi")
+
+
 def _verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` that link: the other orders' filters first, then the whole sets."""
+    held = _of(prefixes, pairs).select("node", "p2", "p3")
     for side in ("a", "b"):
-        pairs = pairs.join(
-            prefixes.select(F.col("node").alias(side), F.col("p2").alias(f"{side}2"), F.col("p3").alias(f"{side}3")), side
-        )
+        pairs = pairs.join(held.select(F.col("node").alias(side), F.col("p2").alias(f"{side}2"), F.col("p3").alias(f"{side}3")), side)
     pairs = pairs.where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3")).select("a", "b")
     pairs = stage(pairs, "join-candidates")
+    held = _of(sets, pairs)
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("tokens").alias(f"{side}t")), side)
+        pairs = pairs.join(held.select(F.col("node").alias(side), F.col("tokens").alias(f"{side}t")), side)
     shared = F.size(F.array_intersect("at", "bt"))
     union = F.size("at") + F.size("bt") - shared
     return pairs.where(shared * 100 >= union * params.percent).select("a", "b")
 
 
+def _met(sets: DataFrame, params: JoinParams) -> tuple[DataFrame, list[int]]:
+    """``(node, n, own)`` of the sets that can have a partner at all, and the frequent tokens.
+
+    ``own`` counts the tokens of a set that no other has. What two sets share is at most the
+    rest of either, so a set with too many of its own has no link.
+    """
+    counts = sets.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("count"), F.min("node").alias("node")
+    )
+    lone = F.when(F.col("count") == 1, F.col("node"))
+    often = F.when(F.col("count") > FREQUENT, F.col("token"))
+    told = counts.select(lone.alias("node"), often.alias("token"), "count").where("node is not null or token is not null")
+    told = stage(told.groupBy("node", "token").agg(F.count("*").alias("own"), F.max("count").alias("count")), "join-told")
+    frequent = told.where("token is not null").orderBy(F.col("count").desc(), "token").limit(FREQUENT_TOKENS)
+    own = told.where("node is not null").select("node", "own")
+    met = sets.select("node", F.size("tokens").cast("long").alias("n")).join(own, "node", "left").fillna(0, ["own"])
+    return met.where((F.col("n") - F.col("own")) * 100 >= F.col("n") * params.percent), [r.token for r in frequent.collect()]
+
+
 def jaccard_classes(
     docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -127,7 +152,8 @@ def jaccard_classes(
        linked without being paired. Kept of each set are its size, digest and first tokens.
     2. A set shares most of its tokens with any partner, so among its first tokens (in order of
        hash) a known number must occur in another set's. Sets that fall short have no link.
-    3. The texts of the rest are read again for their whole sets. Each gets its prefix under
+    3. The texts of the rest are read again for their whole sets. Sets with too many tokens that
+       no other has are out, twice, as the first pass leaves fewer sets. Each of the rest gets its prefix under
        three global orders, in which frequent tokens come last; a pair is a candidate if it
        meets in the first and overlaps in the second and third, and is then verified exactly.
     4. Links only have to connect, so members of a prefix list are first paired with one hub of
@@ -148,7 +174,9 @@ def jaccard_classes(
     classes = filled.groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     classes = stage(classes, "join-classes")
 
-    nodes = filled.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    copies = filled.select("row", "key").join(classes.select("key", "node"), "key").where("row <> node").select("row")
+    copies = stage(copies, "join-copies")
+    nodes = filled.join(small(copies, copies.count()), "row", "left_anti")
     spread = nodes.select(F.col("row").alias("node"), F.explode("tokens").alias("token"))
     met = spread.groupBy("token").count().where("count > 1").select("token")
     counts = spread.join(met, "token", "left_semi").groupBy("node").agg(F.count("*").alias("met"))
@@ -159,12 +187,16 @@ def jaccard_classes(
     ids = alive.select(F.col("least").alias("again")).distinct()
     again = rows.join(small(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
     whole = _sets(again, params, whole=True).select("key", "tokens")
-    sets = stage(whole.join(alive.select("node", "n", "key"), "key").select("node", "n", "tokens").dropDuplicates(["node"]), "join-whole")
-
-    seen = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") > FREQUENT)
-    frequent = [r.token for r in seen.orderBy(F.col("count").desc(), "token").limit(FREQUENT_TOKENS).collect()]
-    prefixes = stage(_prefixes(sets, frequent, params), "join-prefixes")
-    lists = prefixes.select("node", "n", "common", F.explode("p1").alias("token"))
+    wanted = alive.select("node", "key")
+    sets = stage(whole.join(small(wanted, alive.count()), "key").select("node", "tokens"), "join-whole")
+    if sets.count() > alive.count():  # rows with equal id and text
+        sets = stage(sets.dropDuplicates(["node"]), "join-whole")
+    for _ in range(2):
+        met, frequent = _met(sets, params)
+        met = stage(met, "join-met")
+        sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
+    prefixes = stage(_prefixes(sets.join(met, "node"), frequent, params).join(met.select("node", "own"), "node"), "join-prefixes")
+    lists = prefixes.select("node", "n", "own", "common", F.explode("p1").alias("token"))
     lists = stage(lists.join(lists.groupBy("token").count().where("count > 1").select("token"), "token", "left_semi"), "join-lists")
 
     links = None
@@ -174,17 +206,18 @@ def jaccard_classes(
         split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         if turn < HUB_ROUNDS:
             rank = -F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
-            hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"))).alias("hub")
+            hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"), F.col("own"))).alias("hub")
             hubs = held.groupBy("token").agg(hub, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
             pairs = held.join(hubs.select("token", "hub"), "token").select(
-                F.col("node").alias("a"), "component", "n", F.col("hub.node").alias("b"),
-                F.col("hub.component").alias("other"), F.col("hub.n").alias("m"),
+                F.col("node").alias("a"), "component", "n", "own", F.col("hub.node").alias("b"),
+                F.col("hub.component").alias("other"), F.col("hub.n").alias("m"), F.col("hub.own").alias("m_own"),
             )
         else:
             left = held.join(split.select("token"), "token", "left_semi")
-            right = left.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"))
+            right = left.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("own").alias("m_own"))
             pairs = left.withColumnRenamed("node", "a").join(right, "token").where("a < b")
-        fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * params.percent
+        most = F.least(F.col("n") - F.col("own"), F.col("m") - F.col("m_own"))  # what the two can share
+        fits = most * (100 + params.percent) >= (F.col("n") + F.col("m")) * params.percent
         pairs = pairs.where((F.col("component") != F.col("other")) & fits).select("a", "b").distinct()
         found = stage(_verified(pairs, prefixes, sets, params), "join-links")
         links = found if links is None else links.unionByName(found)
