@@ -112,9 +112,11 @@ def _of(frame: DataFrame, pairs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` that link: the other orders' filters first, then the whole sets."""
     held = _of(prefixes, pairs).select("node", "p2", "p3")
+    pairs = pairs.select("a", "b", "a_most", "b_most")
     for side in ("a", "b"):
         pairs = pairs.join(held.select(F.col("node").alias(side), F.col("p2").alias(f"{side}2"), F.col("p3").alias(f"{side}3")), side)
-    pairs = pairs.where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3")).select("a", "b")
+    both = [F.arrays_overlap(F.slice(f"a{k}", 1, "a_most"), F.slice(f"b{k}", 1, "b_most")) for k in (2, 3)]
+    pairs = pairs.where(both[0] & both[1]).select("a", "b")
     pairs = stage(pairs, "join-candidates")
     held = _of(sets, pairs)
     for side in ("a", "b"):
@@ -196,7 +198,7 @@ def jaccard_classes(
         met = stage(met, "join-met")
         sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
     prefixes = stage(_prefixes(sets.join(met, "node"), frequent, params).join(met.select("node", "own"), "node"), "join-prefixes")
-    lists = prefixes.select("node", "n", "own", "common", F.explode("p1").alias("token"))
+    lists = prefixes.select("node", "n", "own", "common", F.posexplode("p1").alias("at", "token"))
     lists = stage(lists.join(lists.groupBy("token").count().where("count > 1").select("token"), "token", "left_semi"), "join-lists")
 
     links = None
@@ -206,19 +208,24 @@ def jaccard_classes(
         split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         if turn < HUB_ROUNDS:
             rank = -F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
-            hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"), F.col("own"))).alias("hub")
+            hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"), F.col("own"), F.col("at"))).alias("hub")
             hubs = held.groupBy("token").agg(hub, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            pairs = held.join(hubs.select("token", "hub"), "token").select(
-                F.col("node").alias("a"), "component", "n", "own", F.col("hub.node").alias("b"),
-                F.col("hub.component").alias("other"), F.col("hub.n").alias("m"), F.col("hub.own").alias("m_own"),
-            )
+            left, right = held, hubs.select("token", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "component", "n", "own", "at")])
         else:
             left = held.join(split.select("token"), "token", "left_semi")
-            right = left.select("token", F.col("node").alias("b"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("own").alias("m_own"))
-            pairs = left.withColumnRenamed("node", "a").join(right, "token").where("a < b")
-        most = F.least(F.col("n") - F.col("own"), F.col("m") - F.col("m_own"))  # what the two can share
-        fits = most * (100 + params.percent) >= (F.col("n") + F.col("m")) * params.percent
-        pairs = pairs.where((F.col("component") != F.col("other")) & fits).select("a", "b").distinct()
+            right = left.select("token", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "n", "own", "at")])
+        pairs = left.join(right, "token").where(F.col("component") != F.col("b_component"))
+        if turn == HUB_ROUNDS:
+            pairs = pairs.where("node < b_node")
+        # What the two must share, can share beside their own tokens, and can share from the first
+        # common token on: a pair that links passes in the list of that token.
+        need = F.expr(f"((n + b_n) * {params.percent} + {99 + params.percent}) div {100 + params.percent}")
+        can = F.least(F.col("n") - F.col("own"), F.col("b_n") - F.col("b_own"))
+        a_most, b_most = F.col("n") - need + 1, F.col("b_n") - need + 1
+        pairs = pairs.where((can >= need) & (F.col("at") < a_most) & (F.col("b_at") < b_most))
+        pairs = pairs.select(
+            F.col("node").alias("a"), F.col("b_node").alias("b"), a_most.cast("int").alias("a_most"), b_most.cast("int").alias("b_most")
+        ).distinct()
         found = stage(_verified(pairs, prefixes, sets, params), "join-links")
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
