@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -38,17 +37,21 @@ def build_session(app_name: str = "claimweave", master: str | None = None, **con
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own: executors of a
-    cluster could not see it.
+    Only a local session without that setting uses its warehouse instead; on a cluster the
+    folder has to be named.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="claimweave-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new path under the application's folder."""
+    application = f"claimweave-{spark.sparkContext.applicationId}"
+    return f"{staging_root(spark)}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -60,12 +63,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     tables of an application lie under one folder, to be dropped when its results are stored.
     """
     spark = df.sparkSession
-    application = f"claimweave-{spark.sparkContext.applicationId}"
-    path = f"{staging_root(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+    path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staging(spark: SparkSession) -> None:
+    """Delete the application's staged tables, once all results that read them are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{staging_root(spark)}/claimweave-{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run_together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run independent steps that submit Spark jobs side by side; their results in order."""
     with ThreadPoolExecutor(len(steps)) as pool:

@@ -19,16 +19,16 @@ CLAIM_SPLITS = {"train": "train", "validation": "test"}
 
 
 def read_corpus_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, title, abstract)``; an abstract may be a list of sentences or one string."""
-    sentences = F.from_json(F.col("abstract"), "array<string>")
-    looks_like_list = F.col("abstract").startswith("[")
-    abstract = F.coalesce(
-        F.when(looks_like_list, F.array_join(sentences, " ")), F.col("abstract"), F.lit("")
-    )
-    return (
-        spark.read.schema(CORPUS_SCHEMA)
-        .json(path)
-        .select("doc_id", clean("title").alias("title"), clean(abstract).alias("abstract"))
+    """``(doc_id, title, abstract)``; an abstract may be a list of sentences or one string.
+
+    The JSON type of the field decides: a string that looks like a list stays a string.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    row = F.from_json("value", CORPUS_SCHEMA)
+    sentences = F.from_json("value", "abstract array<string>")["abstract"]
+    abstract = F.coalesce(F.array_join(sentences, " "), row["abstract"], F.lit(""))
+    return lines.select(
+        row["doc_id"].alias("doc_id"), clean(row["title"]).alias("title"), clean(abstract).alias("abstract")
     )
 
 

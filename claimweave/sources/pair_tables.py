@@ -31,10 +31,11 @@ _CSV_READ = {
 def write_pairs_csv(pairs: DataFrame, root: str, prefix: str, variants=FIELD_VARIANTS) -> list[str]:
     """One CSV table per variant plus one with all of them; returns their paths.
 
+    Rows are in order of split, claim, variant and document.
     Hand in staged pairs: they are read once per table. CSV is for exchange;
     :func:`publish_pairs` is the layout to work on.
     """
-    pairs = pairs.select(*PAIR_SCHEMA.names)
+    pairs = pairs.select(*PAIR_SCHEMA.names).orderBy("split", "query_id", "field_variant", "doc_id")
     paths = []
     for variant in variants:
         path = f"{root}/{prefix}_{variant}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.sources.scan import spread
@@ -12,15 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def title_and_abstract() -> list[Column]:
+    """The first line of ``text`` as title, all the rest as abstract."""
+    line_end = F.instr("text", "\n")
+    rest = F.when(line_end > 0, F.substring(F.col("text"), line_end + 1, F.length("text")))
+    return [F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), rest.otherwise("").alias("abstract")]
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents``: the first line is the title, the rest the abstract."""
-    line_end = F.instr("text", "\n")
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        F.col("doc_id").cast("string").alias("doc_id"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
-        F.when(line_end > 0, F.substring(F.col("text"), line_end + 1, F.length("text")))
-        .otherwise("")
-        .alias("abstract"),
+        F.col("doc_id").cast("string").alias("doc_id"), *title_and_abstract()
     )
 
 
@@ -34,26 +36,26 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document is relevant to a passage it contains word for word.
 
-    Only a way to obtain judgments from the given tables; real jobs read theirs. The first
-    word of a passage finds its candidates, so the substring test runs on an equi-join.
+    Only a way to obtain judgments from the given tables; real jobs read theirs. The second
+    word of a passage of three or more stands between white space, so any text that contains
+    the passage has it as a whole word: it finds the candidates in an equi-join that carries
+    ids only, and the substring test runs on their texts. Shorter passages have no such word
+    and are tested against every text.
     """
     words = F.regexp_extract_all(F.col("text"), F.lit(r"\S+"), F.lit(0))
     passages = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id"),
-        F.col("text").alias("claim"),
-        F.regexp_extract(F.col("text"), r"\S+\s+(\S+)", 1).alias("word"),
-    )
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", "text", F.explode(F.array_distinct(words)).alias("word")
+        "item_id", F.col("text").alias("claim"), F.regexp_extract("text", r"\S+\s+(\S+)\s+\S", 1).alias("word")
     )
-    return (
-        documents.join(passages, "word")
-        .where(F.contains(F.col("text"), F.col("claim")))
-        .select(
-            F.when(F.col("item_id") % 4 == 0, "test").otherwise("train").alias("split"),
-            F.col("item_id").cast("string").alias("query_id"),
-            F.col("doc_id").cast("string").alias("doc_id"),
-        )
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    named = spread(texts).select("doc_id", F.explode(F.array_distinct(words)).alias("word"))
+    candidates = named.join(passages.where("word <> ''"), "word").select("doc_id", "item_id", "claim").distinct()
+    short = F.broadcast(passages.where("word = ''").select("item_id", "claim"))
+    contained = F.contains(F.col("text"), F.col("claim"))
+    found = candidates.join(texts, "doc_id").where(contained).unionByName(texts.join(short, contained), allowMissingColumns=True)
+    return found.select(
+        F.when(F.col("item_id") % 4 == 0, "test").otherwise("train").alias("split"),
+        F.col("item_id").cast("string").alias("query_id"),
+        F.col("doc_id").cast("string").alias("doc_id"),
     )
 
 

@@ -428,7 +428,7 @@ def oracle_sql() -> dict[str, str]:
         "valid_pairs": "SELECT conv_id, turn, CASE WHEN c = '' THEN 'empty_claim' "
         "WHEN t = '' AND a = '' THEN 'empty_document' ELSE 'valid' END AS status FROM ("
         f"SELECT conv_id, turn, CASE WHEN role = 'user' THEN {strip('text')} ELSE '' END AS c, "
-        f"{strip('split_part(text, chr(10), 2)')} AS t, {strip('split_part(text, chr(10), 3)')} AS a "
+        f"{strip('split_part(text, chr(10), 1)')} AS t, {strip(rest_of('text'))} AS a "
         "FROM conversations)",
         "abstract_excerpt": sql(
             PASSAGES,
@@ -461,6 +461,13 @@ def oracle_sql() -> dict[str, str]:
         "random_negatives": sql(every_hard, "SELECT query_id, doc_id FROM randoms"),
         "hard_negatives": sql(every_hard, "SELECT field_variant, query_id, doc_id FROM hard"),
         "relevance_pairs": sql(pairs, RELEVANCE_ROWS),
+        "pairs_csv": sql(pairs, RELEVANCE_ROWS),
+        "pairs_published": sql(pairs, RELEVANCE_ROWS),
+        "corpus_jsonl": sql(
+            PASSAGES,
+            f"SELECT doc_id, md5({strip('title')}) AS title_md5, md5({strip('a')}) AS abstract_md5 FROM (SELECT *, "
+            "CASE WHEN doc_id::BIGINT % 2 = 0 THEN replace(abstract, chr(10), ' ') ELSE abstract END AS a FROM corpus)",
+        ),
         "relevance_pairs_dialog": sql(talk, RELEVANCE_ROWS),
         "stance_pairs": sql(stance, STANCE_ROWS),
         "confusion_matrix": sql(

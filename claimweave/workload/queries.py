@@ -29,8 +29,8 @@ from claimweave.operators import tfidf
 from claimweave.operators.encode import HashedTermEncoder, encode_claims, fit_hashed_encoder
 from claimweave.operators.moments import feature_moments
 from claimweave.plans import classify, encoding, pairs, search, training
-from claimweave.session import stage
-from claimweave.sources import artifacts
+from claimweave.session import stage, staging_path
+from claimweave.sources import artifacts, jsonl, pair_tables
 from claimweave.sources.benchmark import as_qrels
 from claimweave.workload import bindings as bd
 
@@ -156,8 +156,7 @@ def valid_pairs(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id",
         "turn",
         F.when(F.col("role") == "user", F.col("text")).otherwise(" \t").alias("claim"),
-        F.split_part("text", F.lit("\n"), F.lit(2)).alias("title"),
-        F.split_part("text", F.lit("\n"), F.lit(3)).alias("abstract"),
+        *bd.title_and_abstract(),
     )
     valid, rejected = classify.split_valid(turns)
     ids = ["conv_id", "turn"]
@@ -174,6 +173,30 @@ def abstract_excerpt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def corpus_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as JSON lines, abstracts of even ids as a list, and read back."""
+    corpus = bd.corpus(spark, sf)
+    as_text = F.to_json(F.struct("doc_id", "title", "abstract"))
+    as_list = F.to_json(F.struct("doc_id", "title", F.split("abstract", "\n").alias("abstract")))
+    path = staging_path(spark, "corpus_jsonl")
+    corpus.select(F.when(F.col("doc_id").cast("long") % 2 == 0, as_list).otherwise(as_text).alias("value")).write.text(path)
+    read = jsonl.read_corpus_jsonl(spark, path)
+    return read.select("doc_id", F.md5("title").alias("title_md5"), F.md5("abstract").alias("abstract_md5"))
+
+
+def pairs_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Relevance pairs written as CSV and read back."""
+    paths = pair_tables.write_pairs_csv(stage(relevance_pairs(spark, sf), "pairs"), staging_path(spark, "pairs_csv"), "pairs")
+    return pair_tables.read_pairs_csv(spark, paths[-1])
+
+
+def pairs_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Relevance pairs in the partitioned layout, read back."""
+    path = staging_path(spark, "pairs_published")
+    pair_tables.publish_pairs(relevance_pairs(spark, sf), path)
+    return pair_tables.read_published(spark, path)
+
+
 # --- judgments, TF-IDF and negatives ---------------------------------------------------------
 
 
@@ -532,6 +555,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.removesuffix("_query"): f
     for f in (
         load_qrels,
+        corpus_jsonl,
+        pairs_csv,
+        pairs_published,
         vector_store_integrity,
         document_text_variants,
         passage_text,

@@ -2,16 +2,14 @@ from types import SimpleNamespace
 
 import pytest
 
-from claimweave.session import run_together, stage, staging_root
+from claimweave.session import clear_staging, run_together, stage, staging_root
 
 
 def fake_session(setting=None, checkpoint_dir=None, master="local[2]"):
-    made = []
-    context = SimpleNamespace(
-        master=master, getCheckpointDir=lambda: checkpoint_dir, setCheckpointDir=made.append
-    )
-    conf = SimpleNamespace(get=lambda key, default=None: setting or default)
-    return SimpleNamespace(conf=conf, sparkContext=context, made=made)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint_dir)
+    settings = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key] or default)
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_the_named_folder_is_used():
@@ -19,9 +17,8 @@ def test_the_named_folder_is_used():
     assert staging_root(fake_session(None, "hdfs:///old")) == "hdfs:///old"
 
 
-def test_only_local_sessions_get_a_folder_of_their_own():
-    local = fake_session()
-    assert local.made == [] and staging_root(local) == local.made[0]
+def test_only_local_sessions_do_without_the_setting():
+    assert staging_root(fake_session()) == "file:/warehouse/staging"
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         staging_root(fake_session(master="yarn"))
 
@@ -34,6 +31,14 @@ def test_staged_tables_keep_schema_and_rows(spark):
     assert stage(df.where("false"), "empty").count() == 0
 
 
+def test_staged_tables_can_be_cleared(spark):
+    staged = stage(spark.range(3), "gone")
+    assert staged.count() == 3
+    clear_staging(spark)
+    with pytest.raises(Exception, match="exist|not found|NOT_EXIST"):
+        spark.read.parquet(staged.inputFiles()[0]).count()
+
+
 def test_steps_run_side_by_side_and_errors_surface(spark):
     assert run_together(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
     with pytest.raises(ZeroDivisionError):
