@@ -43,7 +43,7 @@ def document_positions(doc_ids: DataFrame) -> DataFrame:
 
 
 def with_gaps(excluded: DataFrame, keys: list[str], n_docs: int) -> DataFrame:
-    """Add ``gap`` to ``(*keys, position)``: how many allowed positions lie before it.
+    """Add ``gap`` and its ``_range`` to ``(*keys, position)``: how many allowed positions lie before it.
 
     A position's gap is itself minus its rank in the claim's excluded set. A claim may own a
     large share of all exclusions, so the rank is taken per range of positions and shifted by
@@ -65,6 +65,7 @@ def with_gaps(excluded: DataFrame, keys: list[str], n_docs: int) -> DataFrame:
         .select(
             *keys,
             "position",
+            "_range",
             (F.col("position") - F.col("_offset") - F.col("_rank")).alias("gap"),
         )
     )
@@ -75,11 +76,20 @@ def pick_outside(
 ) -> DataFrame:
     """Turn ``(*keys, rank)`` into ``(*keys, doc_id)`` outside ``excluded (*keys, position)``."""
     gaps = with_gaps(excluded, keys, n_docs).withColumnRenamed("gap", "_gap")
+    # Gaps grow with the position: for a rank, ranges count whole up to some point, at most one
+    # counts in part, and the rest not at all. So a claim meets its ranges (1,024 at most), and
+    # only that one range's exclusions, wherever a claim with very many has them.
+    ranges = gaps.groupBy(*keys, "_range").agg(
+        F.count("*").alias("_size"), F.min("_gap").alias("_low"), F.max("_gap").alias("_high")
+    )
+    met = picks.join(ranges, keys).where(F.col("_low") <= F.col("rank"))
+    whole = met.where(F.col("_high") <= F.col("rank")).select(*keys, "rank", F.col("_size").alias("_n"))
+    parts = met.where(F.col("_high") > F.col("rank")).select(*keys, "rank", "_range")
+    parts = parts.join(gaps, [*keys, "_range"]).where(F.col("_gap") <= F.col("rank"))
     skipped = (
-        picks.join(gaps, keys)
-        .where(F.col("_gap") <= F.col("rank"))
+        whole.unionByName(parts.select(*keys, "rank", F.lit(1).cast("long").alias("_n")))
         .groupBy(*keys, "rank")
-        .agg(F.count("*").alias("_skipped"))
+        .agg(F.sum("_n").alias("_skipped"))
     )
     return (
         picks.join(skipped, [*keys, "rank"], "left")
