@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -539,12 +538,13 @@ def classify_pairs(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(pairs.build_relevance_pairs(*bd.dialog(spark, sf)), "pairs")
     encoder = HashedTermEncoder(DIM)
     features = training.pair_feature_rows(training.pair_vectors(rows, encoder))
-    lr = replace(FAST, families=("logistic_regression",))
+    lr = TrainParams(families=("logistic_regression",))
     fitted = training.train_and_compare(
         stage(features, "features"), RELEVANCE_LABELS, lr, ["title_abstract"]
     )
     model = fitted.models["title_abstract", "logistic_regression"]
-    asked = rows.where(F.col("field_variant") == "title_abstract").select(
+    unseen = (F.col("field_variant") == "title_abstract") & (F.col("split") == "test")
+    asked = rows.where(unseen).select(
         "query_id", "doc_id", "claim", "title", "abstract", "label"
     )
     scored = classify.classify_pairs(asked, model, encoder, "title_abstract", RELEVANCE_LABELS)
