@@ -126,13 +126,15 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, params: Jo
     return pairs.where(shared * 100 >= union * params.percent).select("a", "b")
 
 
-def _met(sets: DataFrame, params: JoinParams) -> tuple[DataFrame, list[int]]:
+def _met(sets: DataFrame, params: JoinParams, part: int = 1) -> tuple[DataFrame, list[int]]:
     """``(node, n, own)`` of the sets that can have a partner at all, and the frequent tokens.
 
-    ``own`` counts the tokens of a set that no other has. What two sets share is at most the
-    rest of either, so a set with too many of its own has no link.
+    ``own`` counts the tokens of a set that no other has, among those whose value ``part``
+    divides. What two sets share is at most the rest of either, so a set with too many of its
+    own has no link.
     """
-    counts = sets.select("node", F.explode("tokens").alias("token")).groupBy("token").agg(
+    looked_at = F.filter("tokens", lambda t: t % part == 0) if part > 1 else F.col("tokens")
+    counts = sets.select("node", F.explode(looked_at).alias("token")).groupBy("token").agg(
         F.count("*").alias("count"), F.min("node").alias("node")
     )
     lone = F.when(F.col("count") == 1, F.col("node"))
@@ -155,7 +157,7 @@ def jaccard_classes(
     2. A set shares most of its tokens with any partner, so among its first tokens (in order of
        hash) a known number must occur in another set's. Sets that fall short have no link.
     3. The texts of the rest are read again for their whole sets. Sets with too many tokens that
-       no other has are out, twice, as the first pass leaves fewer sets. Each of the rest gets its prefix under
+       no other has are out, first by a quarter of the tokens, then by all, twice, as that leaves fewer sets. Each of the rest gets its prefix under
        three global orders, in which frequent tokens come last; a pair is a candidate if it
        meets in the first and overlaps in the second and third, and is then verified exactly.
     4. Links only have to connect, so members of a prefix list are first paired with one hub of
@@ -180,10 +182,11 @@ def jaccard_classes(
     copies = stage(copies, "join-copies")
     nodes = filled.join(small(copies, copies.count()), "row", "left_anti")
     spread = nodes.select(F.col("row").alias("node"), F.explode("tokens").alias("token"))
-    met = spread.groupBy("token").count().where("count > 1").select("token")
-    counts = spread.join(met, "token", "left_semi").groupBy("node").agg(F.count("*").alias("met"))
+    lone = spread.groupBy("token").agg(F.count("*").alias("count"), F.min("node").alias("node")).where("count = 1")
+    lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
     fewest = F.expr(f"(({params.percent} * n + 99) div 100) div 25 + 1")
-    alive = nodes.select(F.col("row").alias("node"), "n", "key").join(counts, "node").where(F.col("met") >= fewest)
+    told = nodes.select(F.col("row").alias("node"), "n", "key", F.size("tokens").alias("told")).join(lone, "node", "left")
+    alive = told.where(F.col("told") - F.coalesce("lone", F.lit(0)) >= fewest)
     alive = stage(alive.select("node", "n", "key").join(classes.select("node", "least"), "node"), "join-alive")
 
     ids = alive.select(F.col("least").alias("again")).distinct()
@@ -193,8 +196,8 @@ def jaccard_classes(
     sets = stage(whole.join(small(wanted, alive.count()), "key").select("node", "tokens"), "join-whole")
     if sets.count() > alive.count():  # rows with equal id and text
         sets = stage(sets.dropDuplicates(["node"]), "join-whole")
-    for _ in range(2):
-        met, frequent = _met(sets, params)
+    for part in (4, 1, 1):  # a quarter of the tokens tells most sets without a partner
+        met, frequent = _met(sets, params, part)
         met = stage(met, "join-met")
         sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
     prefixes = stage(_prefixes(sets.join(met, "node"), frequent, params).join(met.select("node", "own"), "node"), "join-prefixes")
