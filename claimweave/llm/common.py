@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +36,6 @@ def keep_ids(frame: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFr
     return frame.join(small(ids, ids.count()), F.col(column).eqNullSafe(F.col("_keep_id")), "left_semi")
 
 
-def arrow_rows(batch: pa.RecordBatch, column: str) -> Iterator:
-    """Values of one column of an Arrow batch, one Python object at a time."""
-    return (x.as_py() for x in batch.column(column))
-
-
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit words that scatters them (the splitmix finaliser)."""
     x = x + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & 0xFFFFFFFFFFFFFFFF)
@@ -93,7 +85,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
     edges = stage(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), name
     )
-    spark, state = links.sparkSession, None
+    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -103,10 +95,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
         hung = large.join(least, "u")
         smaller = hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(smaller.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
-        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.countDistinct("u"), F.sum("v")).first()
-        if now == state and now[0] == now[2]:
-            break
-        if now[0] == 0:
+        # Done when a round changes nothing and every node hangs on one other.
+        now = edges.agg(F.count("*"), F.countDistinct("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now[0] == 0 or (now == state and now[0] == now[1]):
             break
         state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
@@ -116,6 +107,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
 
 
 __all__ = [
-    "BROADCAST_IDS", "WHITE", "WordHashes", "arrow_rows", "connected_components", "id_bucket", "keep_ids", "mix64",
+    "BROADCAST_IDS", "WHITE", "WordHashes", "connected_components", "id_bucket", "keep_ids", "mix64",
     "shingle_hashes", "small", "stage", "text_or_empty",
 ]
