@@ -68,10 +68,11 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     if not len(hashes):
         return hashes
     width = min(width, len(hashes))
-    out = np.zeros(len(hashes) - width + 1, np.uint64)
-    for k in range(width):
-        out = mix64(out ^ hashes[k : k + len(out)], k)
-    return out if width == 1 else mix64(out, width)
+    out = hashes[: len(hashes) - width + 1].copy()
+    for k in range(1, width):  # a polynomial of the words' hashes, scattered once at the end
+        out *= np.uint64(0xC2B2AE3D27D4EB4F)
+        out += hashes[k : k + len(out)]
+    return mix64(out, width)
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:
