@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 
 from claimweave.llm.common import stage, text_or_empty
 
-# A candidate: at least 16 characters of the alphabets of keys, a digit among them.
+# Candidates: what is assigned to a secret word, from six characters of any kind; keys with a known
+# prefix; and at least 16 characters of the alphabets of keys, a digit or capital among them.
+# A mark, put in front of assigned values, keeps them together where a text is split into words.
+MARK = "\uFDD0"
+VALUE = r"[^\x20\x09-\x0D\"'`<>\uFDD0]{5,}[^\x20\x09-\x0D\"'`<>\uFDD0.,;:)\]}]"
+PREFIXED = r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{12,}|[sr]k_[A-Za-z0-9_]{12,}|xox[a-z]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{12,})"
 RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
-CANDIDATE = rf"(?=[A-Za-z+/_\-]*[0-9]){RUN}"
+LOOSE = rf"{PREFIXED}|(?=[a-z+/_\-]*[A-Z0-9]){RUN}"
+CANDIDATE = rf"{MARK}{VALUE}|{LOOSE}"
 SEPARATOR = r"[\x20\x09-\x0D]"
 CONTEXT_WORDS = 3
 
@@ -23,6 +29,7 @@ CONTEXT_WORDS = 3
 # strings. Fixed lists.
 SECRET_WORDS = "token password passwd pwd secret apikey api_key access_key key auth bearer credential private".split()
 PLAIN_WORDS = "commit sha sha1 sha256 sha512 md5 checksum digest hash etag integrity uuid guid revision rev blob build version id file path image data example sample test order invoice".split()
+ASSIGNED = r"(?i)((?:" + "|".join(SECRET_WORDS) + r")[\"'`]?[\x20\x09-\x0D]{0,8}(?::=|=>|[=:])[\x20\x09-\x0D]{0,8}[\"'`]?)(?=" + VALUE + ")"
 DICTIONARY = (
     "the and for with this that from have not are was were will tion ing ment able over under user name file path test "
     "data info code main home page index value order model class table image example sample version config service"
@@ -40,6 +47,11 @@ class SecretParams:
     seed: int = 3
 
 
+def _length(c: Column) -> Column:
+    """Characters of a text without its marks."""
+    return F.length(F.translate(c, MARK, ""))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, start, end, value, left, right)``: every candidate with the words around it.
 
@@ -47,7 +59,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     front of it within its own word; offsets are in code points, the end exclusive.
     """
     text = text_or_empty(text_col)
-    hit = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text")).where(F.col("_text").rlike(CANDIDATE))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.translate(text, MARK, "\uFFFD").alias("_text"))
+    hit = rows.where(F.col("_text").rlike(LOOSE) | F.col("_text").rlike(ASSIGNED))
+    hit = hit.withColumn("_text", F.regexp_replace("_text", ASSIGNED, "$1" + MARK))
     words = hit.withColumn("_words", F.split("_text", SEPARATOR))
     places = F.filter(F.sequence(F.lit(1), F.size("_words")), lambda i: F.element_at("_words", i.cast("int")).rlike(CANDIDATE))
     # Each separator is one character, so a word starts after the lengths before it and one each.
@@ -55,7 +69,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("_words"),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("kept")),
         lambda acc, w: F.struct(
-            (acc["at"] + F.length(w) + 1).alias("at"),
+            (acc["at"] + _length(w) + 1).alias("at"),
             F.when(w.rlike(CANDIDATE), F.concat(acc["kept"], F.array(acc["at"]))).otherwise(acc["kept"]).alias("kept"),
         ),
         lambda acc: acc["kept"],
@@ -74,16 +88,16 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     each = parts.select("*", F.posexplode("_values").alias("_k", "value")).withColumn(
         "_head", F.array_join(F.slice(F.split("_word", CANDIDATE), 1, F.col("_k") + 1), "")
     )
-    skipped = F.aggregate(F.slice("_values", 1, F.col("_k")), F.lit(0), lambda n, v: n + F.length(v))
-    start = F.col("_at") + F.length("_head") + skipped
+    skipped = F.aggregate(F.slice("_values", 1, F.col("_k")), F.lit(0), lambda n, v: n + _length(v))
+    start = F.col("_at") + _length(F.col("_head")) + skipped
     lead = F.array_join(F.slice(F.reverse(F.split("_before", " ")), 1, CONTEXT_WORDS), " ")
     return each.select(
         "doc_id",
         start.cast("long").alias("start"),
-        (start + F.length("value")).cast("long").alias("end"),
-        "value",
-        F.concat_ws(" ", lead, "_head").alias("left"),
-        "right",
+        (start + _length(F.col("value"))).cast("long").alias("end"),
+        F.translate("value", MARK, "").alias("value"),
+        F.translate(F.concat_ws(" ", lead, "_head"), MARK, "").alias("left"),
+        F.translate("right", MARK, "").alias("right"),
     )
 
 
@@ -145,6 +159,15 @@ def labelled_findings(spark: SparkSession, rows: int = SecretParams().findings)
         return F.substring(c, 1, size)
 
     number = F.substring(F.translate(hexes, "abcdef", "012345"), 1, 40)
+    lower = F.translate(hexes, "0123456789", "rstuvwxyzg")
+    capital = F.upper(cut(lower, 1))
+    letters = F.translate(base, "0123456789", "QwErTyUiOp")
+
+    def word(at: int) -> Column:
+        words = [w for w in DICTIONARY if len(w) > 3] + "required default enter reset expired because everything password string".split()
+        return F.element_at(F.array(*[F.lit(w) for w in words]), ((F.ascii(F.substring(hexes, at, 1)) * 7 + F.ascii(F.substring(hexes, at + 1, 1))) % len(words) + 1).cast("int"))
+
+    titled = [F.initcap(word(k)) for k in (3, 7, 11, 15)]
     kinds = [  # value, left, right, label
         (F.concat(F.lit("AKIA"), cut(upper, 16)), F.lit("the"), F.lit("and then"), 1),
         (cut(hexes, 40), F.lit('= token "'), F.lit("of the"), 1),
@@ -170,6 +193,33 @@ def labelled_findings(spark: SparkSession, rows: int = SecretParams().findings)
         (F.concat(F.lit("example-token-value-"), cut(number, 3)), F.lit("= token"), F.lit("sample"), 0),
         (F.concat(F.lit("integration"), cut(number, 1), F.lit("service-name-index")), F.lit("the"), F.lit("of"), 0),
         (F.concat(F.lit("20"), cut(number, 2), F.lit("-01-01-order-page-"), cut(number, 4)), F.lit("see"), F.lit("page"), 0),
+        # Keys of letters only, short passwords and those of other signs.
+        (F.concat(F.lit("AKIA"), cut(F.upper(letters), 16)), F.lit("the"), F.lit("and then"), 1),
+        (F.concat(F.lit("AKIA"), cut(F.upper(letters), 16)), F.lit("commit"), F.lit("id"), 1),
+        (F.concat(F.lit("ghp_"), cut(letters, 36)), F.lit("use"), F.lit("for it"), 1),
+        (cut(letters, 40), F.lit("aws secret access_key ="), F.lit(""), 1),
+        (cut(letters, 24), F.lit("api_key="), F.lit("in"), 1),
+        (F.concat(capital, F.substring(lower, 2, 5), cut(number, 1), F.substring(lower, 8, 1)), F.lit("a password="), F.lit("was in"), 1),
+        (F.concat(capital, F.substring(lower, 2, 5), cut(number, 1), F.substring(lower, 8, 1)), F.lit("the password:"), F.lit("of the"), 1),
+        (F.concat(F.initcap(word(3)), cut(number, 2), F.lit("!")), F.lit("pwd ="), F.lit("in"), 1),
+        (F.concat(cut(base, 5), F.lit("#"), F.substring(base, 6, 4)), F.lit("passwd: \""), F.lit(""), 1),
+        (F.concat(capital, F.lit("@"), F.substring(lower, 2, 3), cut(number, 1), F.substring(lower, 8, 2), F.lit("!"), F.substring(number, 2, 4), F.lit("."), F.substring(lower, 12, 3)), F.lit("a password="), F.lit("for the"), 1),
+        (F.concat(F.substring(lower, 2, 6), cut(number, 3)), F.lit("secret="), F.lit("and"), 1),
+        # Words, names, calls and addresses beside such words or not.
+        (F.concat(word(3), F.lit("ly")), F.lit("the password:"), F.lit("of the"), 0),
+        (F.concat(word(3), word(7)), F.lit("the key ="), F.lit("and"), 0),
+        (F.concat(word(3), F.lit("-"), word(7)), F.lit("a token:"), F.lit("is"), 0),
+        (F.initcap(F.concat(word(3), F.lit("s"))), F.lit("secret:"), F.lit("you will"), 0),
+        (F.concat(F.lit("get"), *titled[:2], F.lit("()")), F.lit("token ="), F.lit("of"), 0),
+        (F.concat(word(3), F.lit("."), word(7), F.lit("_"), word(11)), F.lit("self password="), F.lit("and"), 0),
+        (F.concat(F.lit("https://www."), word(3), F.lit(".com/"), word(7)), F.lit("key:"), F.lit("see"), 0),
+        (F.lit("********"), F.lit("password="), F.lit(""), 0),
+        (F.concat(F.lit("$"), F.lit("{"), F.upper(word(3)), F.lit("_KEY}")), F.lit("api_key="), F.lit("in"), 0),
+        (F.concat(*titled), F.lit("the"), F.lit("of"), 0),
+        (F.concat(*titled), F.lit("class"), F.lit("and key"), 0),
+        (F.upper(F.concat_ws("_", word(3), word(7), word(11), word(15))), F.lit("set"), F.lit("to"), 0),
+        (F.concat_ws("/", *titled, word(19)), F.lit("the"), F.lit("or"), 0),
+        (F.concat_ws("-", *titled), F.lit("an"), F.lit("of"), 0),
     ]
     kind = F.array(
         *[F.struct(v.alias("value"), a.alias("left"), b.alias("right"), F.lit(float(y)).alias("label")) for v, a, b, y in kinds]
