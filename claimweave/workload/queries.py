@@ -53,19 +53,6 @@ TEXT_BIAS = [2.6, 0.0, 0.0]
 # engines the same way.
 NUDGE = 1e-12
 
-# Small settings, so that the fitted-model queries take seconds.
-FAST = TrainParams(
-    linear_iterations=20,
-    trees=10,
-    tree_depth=5,
-    boosting_rounds=3,
-    boosting_depth=3,
-    boosting_bins=32,
-    hidden=16,
-    mlp_iterations=10,
-)
-
-
 def _weights(table: dict[int, dict[int, float]]) -> list[list[float]]:
     rows = [[0.0] * (4 * DIM + 1) for _ in STANCE_LABELS]
     for cls, entries in table.items():
@@ -527,11 +514,11 @@ def _dialog_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 def train_compare(spark: SparkSession, sf: str) -> DataFrame:
     features = stage(training.pair_feature_rows(_dialog_vectors(spark, sf)), "features")
-    return training.train_and_compare(features, RELEVANCE_LABELS, FAST).scores
+    return training.train_and_compare(features, RELEVANCE_LABELS, TrainParams()).scores
 
 
 def feature_ablation(spark: SparkSession, sf: str) -> DataFrame:
-    return training.ablate_features(_dialog_vectors(spark, sf), RELEVANCE_LABELS, FAST)
+    return training.ablate_features(_dialog_vectors(spark, sf), RELEVANCE_LABELS, TrainParams())
 
 
 def classify_pairs(spark: SparkSession, sf: str) -> DataFrame:
