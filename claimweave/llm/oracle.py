@@ -58,3 +58,52 @@ select doc_id, size, text_crc32, 'rows' as law, (place * 16 // total)::int as sh
        place - ((place * 16 // total) * total + 15) // 16 as slot, null::int as grown_shard
 from placed
 """
+
+ORACLE["op11_collocations"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+           )) as piece
+    from documents
+),
+listed as (
+    select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+),
+totals as (select lang, sum(len(w))::hugeint as n from listed group by lang),
+sized as (select lang, w, unnest(range(1, 6)) as size from listed),
+placed as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as at from sized),
+counts as (
+    select lang, size, w[at : at + size - 1] as words, count(*)::hugeint as f from placed group by all
+),
+often as (select * from counts where f >= 100),
+candidates as (select * from often where size > 1),
+inner_parts as (
+    select lang, words, f, size, unnest(range(2, size)) as k from candidates
+),
+inside as (
+    select distinct lang, words[at : at + k - 1] as words, f
+    from (select *, unnest(range(1, size - k + 2)) as at from inner_parts)
+),
+kept as (
+    select c.* from candidates c left join (select lang, words, max(f) as longer from inside group by all) i using (lang, words)
+    where longer is null or 100 * longer < 100 * f
+),
+cuts as (
+    select c.lang, c.words, c.f as a, k, l.f as l, r.f as r, n, (1000 * c.f * n) // (l.f * r.f) as score
+    from (select *, unnest(range(1, size)) as k from kept) c
+    join totals using (lang)
+    join often l on l.lang = c.lang and l.words = c.words[1 : k]
+    join often r on r.lang = c.lang and r.words = c.words[k + 1 : c.size]
+),
+lowest as (
+    select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1
+),
+ranked as (
+    select lang, array_to_string(words, ' ') as phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+           score::bigint as score,
+           row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(words, ' '))) as rank
+    from lowest
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, decontaminate, exact_dedup, language, ngram_join, passages, pii, quality, secrets, sharding
+from claimweave.llm import (
+    bpe, collocations, decontaminate, exact_dedup, language, ngram_join, passages, periodic, pii, quality, secrets, sharding,
+)
 from claimweave.llm.common import id_bucket
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +95,26 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat, at similarity 0.8 or more, in another document."""
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words attract each other most."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, and digests of all of them and of what is left without their repeats."""
+    found = periodic.find_runs(periodic.seeded_repeats(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
