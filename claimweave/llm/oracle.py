@@ -72,9 +72,9 @@ listed as (
 ),
 totals as (select lang, sum(len(w))::hugeint as n from listed group by lang),
 sized as (select lang, w, unnest(range(1, 6)) as size from listed),
-placed as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as at from sized),
+placed as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as pos from sized),
 counts as (
-    select lang, size, w[at : at + size - 1] as words, count(*)::hugeint as f from placed group by all
+    select lang, size, w[pos : pos + size - 1] as words, count(*)::hugeint as f from placed group by all
 ),
 often as (select * from counts where f >= 100),
 candidates as (select * from often where size > 1),
@@ -82,8 +82,8 @@ inner_parts as (
     select lang, words, f, size, unnest(range(2, size)) as k from candidates
 ),
 inside as (
-    select distinct lang, words[at : at + k - 1] as words, f
-    from (select *, unnest(range(1, size - k + 2)) as at from inner_parts)
+    select distinct lang, words[pos : pos + k - 1] as words, f
+    from (select *, unnest(range(1, size - k + 2)) as pos from inner_parts)
 ),
 kept as (
     select c.* from candidates c left join (select lang, words, max(f) as longer from inside group by all) i using (lang, words)

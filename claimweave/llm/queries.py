@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimweave.llm import (
     bpe, collocations, decontaminate, exact_dedup, language, ngram_join, passages, periodic, pii, quality, secrets, sharding,
+    suffix_dedup,
 )
 from claimweave.llm.common import id_bucket
 
@@ -103,6 +104,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 50 bytes that stand in an earlier one."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words, and digests of all of them and of what is left without their repeats."""
