@@ -160,10 +160,15 @@ def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(a * np.uint64(0xC2B2AE3D27D4EB4F) + b, 3)
 
 
-def _phrase_counts(texts: DataFrame, frequent: np.ndarray, pairs: np.ndarray, longest: int) -> DataFrame:
-    """``(lang, size, phrase, f)``: occurrences of the phrases all of whose neighbours are frequent pairs."""
+def _phrase_counts(texts: DataFrame, frequent: np.ndarray, runs: list[np.ndarray], sizes: range) -> DataFrame:
+    """``(lang, size, phrase, key, f)``: occurrences of the phrases whose parts may all be frequent.
+
+    ``runs`` has a bitmap of frequent pairs and perhaps one of frequent triples; ``sizes`` begin with
+    the longest of these or later.
+    """
     context = texts.sparkSession.sparkContext
-    known, met = context.broadcast(frequent), context.broadcast(pairs)
+    known, met = context.broadcast(frequent), context.broadcast(runs)
+    width = len(runs) + 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,20 +178,26 @@ def _phrase_counts(texts: DataFrame, frequent: np.ndarray, pairs: np.ndarray, lo
                 keys = np.array(words.keys, np.uint64)
                 often = _known(known.value, keys)
                 often[0] = False
-                linked = np.flatnonzero(often[codes[:-1]] & often[codes[1:]])
-                linked = linked[_known(met.value, _pair_key(keys[codes[linked]], keys[codes[linked + 1]]))]
-                chain = np.zeros(len(codes), bool)
-                chain[linked] = True
+                # chain: the places where a run of all sizes known so far starts, and the run's key.
+                chain, key = often[codes], keys[codes]
+                for k, bits in enumerate(met.value, 1):
+                    chain = chain & np.r_[chain[1:], False]
+                    at = np.flatnonzero(chain)
+                    longer = _pair_key(key[at], keys[codes[at + k]])
+                    chain[at], key[at] = _known(bits, longer), longer
+                at = np.flatnonzero(chain)
                 # name: the number of the phrase of the current size that starts at a place.
-                at, name = linked, codes[linked]
-                for size in range(2, longest + 1):
-                    if size > 2:
-                        go = chain[at + size - 2]
+                name = codes[at]
+                for size in range(2, sizes[-1] + 1):
+                    if size > width:
+                        go = chain[at + size - width]
                         at, name = at[go], name[go]
                     if not len(at):
                         break
                     pair = name * len(words.words) + codes[at + size - 1]
                     _, first, name, count = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+                    if size not in sizes:
+                        continue
                     start = at[first]
                     text = [b" ".join([words.words[c] for c in codes[s : s + size]]).decode("utf-8", "surrogatepass") for s in start]
                     yield pa.RecordBatch.from_pydict(
@@ -194,30 +205,43 @@ def _phrase_counts(texts: DataFrame, frequent: np.ndarray, pairs: np.ndarray, lo
                             "lang": pa.array([lang] * len(text), pa.string()),
                             "size": pa.array([size] * len(text), pa.int32()),
                             "phrase": pa.array(text, pa.string()),
+                            "key": pa.array(_triple_key(key, keys[codes], start, size, width).view(np.int64)),
                             "f": pa.array(count, pa.int64()),
                         }
                     )
 
-    counted = texts.mapInArrow(scan, "lang string, size int, phrase string, f long")
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    counted = texts.mapInArrow(scan, "lang string, size int, phrase string, key long, f long")
+    return counted.groupBy("lang", "size", "phrase", "key").agg(F.sum("f").alias("f"))
+
+
+def _triple_key(key: np.ndarray, words: np.ndarray, start: np.ndarray, size: int, width: int) -> np.ndarray:
+    """Keys of phrases of three words that start at ``start``, given those of pairs; others need none."""
+    return _pair_key(key[start], words[start + 2]) if (size, width) == (3, 2) else np.zeros(len(start), np.uint64)
 
 
 def count_streams(docs: DataFrame, p: PhraseParams, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(lang, n)``, frequent words ``(lang, word, f)`` and frequent phrases ``(lang, size, phrase, f)``.
 
-    Three scans. A phrase is frequent only if its words and its neighbouring pairs are, so the
-    second counts pairs of frequent words and the third phrases linked by frequent pairs. What
-    is known to be frequent reaches the tasks as two bitmaps of fixed size, which may let too
-    much through but never too little; counts themselves are exact.
+    Four scans. A phrase is frequent only if all its parts are, so the second counts pairs of
+    frequent words, the third phrases of two and three words linked by frequent pairs, and the
+    last longer ones made of frequent triples. What is known to be frequent reaches the tasks as
+    bitmaps of fixed size, which may let too much through but never too little; counts
+    themselves are exact.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"), F.col(text_col).alias("text"))
+    often = F.col("f") >= p.least
     counts = stage(_word_counts(texts), "phrase-words")
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = counts.where(F.col("f") >= p.least)
+    words = counts.where(often)
     frequent = _bitmap(words, "key")
-    pairs = _bitmap(_pair_counts(texts, frequent).where(F.col("f") >= p.least), "pair")
-    phrases = _phrase_counts(texts, frequent, pairs, p.longest).where(F.col("f") >= p.least)
-    return totals, words.select("lang", "word", "f"), stage(phrases, "phrase-counts")
+    pairs = _bitmap(_pair_counts(texts, frequent).where(often), "pair")
+    phrases = _phrase_counts(texts, frequent, [pairs], range(2, min(3, p.longest) + 1)).where(often)
+    phrases = stage(phrases, "phrase-counts")
+    if p.longest > 3:
+        triples = _bitmap(phrases.where("size = 3"), "key")
+        longer = _phrase_counts(texts, frequent, [pairs, triples], range(4, p.longest + 1)).where(often)
+        phrases = phrases.unionByName(stage(longer, "phrase-counts"))
+    return totals, words.select("lang", "word", "f"), phrases.drop("key")
 
 
 def _nested_counts(phrases: DataFrame, longest: int, order: Callable[[str], Column]) -> DataFrame:
