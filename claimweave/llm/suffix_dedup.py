@@ -22,8 +22,9 @@ class SuffixParams:
     """Strings of ``span`` bytes count; their anchors are ``gram`` bytes long."""
 
     span: int = 50
-    gram: int = 24
-    shard_bytes: int = 3_000_000  # passages in one suffix array, on average
+    gram: int = 20
+    shard_bytes: int = 4_000_000  # passages in one shard, on average
+    common: int = 1000  # passages of an anchor that occurs more often are told apart before they meet
     wide: int = 10_000  # an anchor with more different passages is dealt over several shards
 
 
@@ -171,7 +172,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     for k in range(7):
         key <<= 9
         key[: n - k] |= s[k:].astype(np.int64) + 1 if k < n else 0
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     new = np.r_[True, key[sa[1:]] != key[sa[:-1]]]
     group = np.empty(n, np.int64)
     start = np.flatnonzero(new)
@@ -184,7 +185,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         inside = at + depth < n
         beyond[inside] = group[at[inside] + depth] + 1
         key = group[at] * (n + 1) + beyond
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         at, key = at[order], key[order]
         sa[slots] = at
         new = np.r_[True, key[1:] != key[:-1]]
@@ -292,51 +293,72 @@ def _shard_results(passages: DataFrame, p: SuffixParams) -> DataFrame:
 # --- the operator ----------------------------------------------------------------------------
 
 
+def _removed(rows: dict[str, np.ndarray], size: np.ndarray, leasts: np.ndarray, span: int) -> dict[str, pa.Array]:
+    """Spans of the strings that stand in a smaller place: row ``i`` has the next ``size[i]`` of ``leasts``."""
+    row = np.repeat(np.arange(len(size)), size)
+    gone = np.flatnonzero(leasts < rows["place"][row])
+    edge = np.flatnonzero(np.r_[True, (np.diff(gone) > 1) | (row[gone[1:]] != row[gone[:-1]])][: len(gone)])
+    lo, hi = gone[edge], gone[np.r_[edge[1:], len(gone)] - 1] if len(edge) else gone
+    within = np.arange(len(leasts)) - np.repeat(np.cumsum(size) - size, size)
+    of = row[lo]
+    return {
+        "mark": pa.array(rows["mark"][of]),
+        "place": pa.array(rows["place"][of]),
+        "start": pa.array(rows["first"][of] + within[lo]),
+        "end": pa.array(rows["first"][of] + within[hi] + span),
+    }
+
+
+SPANS = "mark long, place long, start long, end long"
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {c: table.column(c).to_numpy() for c in ("mark", "place", "first")}
+
+
+def _shard_spans(found: DataFrame, p: SuffixParams) -> DataFrame:
+    """Spans from the suffix array of every shard of ``found``."""
+
+    def solve(table: pa.Table) -> pa.Table:
+        told = table.column("passage").combine_chunks().dictionary_encode()
+        code, texts, rows = told.indices.to_numpy(), told.dictionary.to_pylist(), _rows(table)
+        places = np.full(len(texts), LAST_ID)
+        np.minimum.at(places, code, rows["place"])
+        owner, at, group, least = earliest(texts, places, p.span)
+        leasts = least[group[np.lexsort((at, owner))]]
+        size = np.array([len(t) - p.span + 1 for t in texts])
+        begin = np.cumsum(size) - size
+        each = size[code]
+        offset = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        return pa.table(_removed(rows, each, leasts[np.repeat(begin[code], each) + offset], p.span))
+
+    return found.groupBy("shard").applyInArrow(solve, SPANS)
+
+
 def _starts_to_spans(found: DataFrame, span: int) -> DataFrame:
-    """``(mark, place, start, end)`` of the strings in ``found`` that stand in a smaller place."""
+    """Spans of passages with the ``leasts`` of their strings."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mark, place, first = (batch.column(c).to_numpy() for c in ("mark", "place", "first"))
             leasts = batch.column("leasts")
             offset = leasts.offsets.to_numpy()
-            values = leasts.values.to_numpy()[offset[0] : offset[-1]]
-            size = np.diff(offset)
-            row = np.repeat(np.arange(len(size)), size)
-            within = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-            gone = np.flatnonzero(values < place[row])
-            if not len(gone):
-                continue
-            edge = np.flatnonzero(np.r_[True, (np.diff(gone) > 1) | (row[gone[1:]] != row[gone[:-1]])])
-            lo, hi = gone[edge], gone[np.r_[edge[1:], len(gone)] - 1]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "mark": pa.array(mark[row[lo]]),
-                    "place": pa.array(place[row[lo]]),
-                    "start": pa.array(first[row[lo]] + within[lo]),
-                    "end": pa.array(first[row[lo]] + within[hi] + span),
-                }
-            )
-
-    return found.select("mark", "place", "first", "leasts").mapInArrow(spans, "mark long, place long, start long, end long")
+            flat = leasts.values.to_numpy()[offset[0] : offset[-1]]
+            yield pa.RecordBatch.from_pydict(_removed(_rows(batch), np.diff(offset), flat, span))
 
+    return found.select("mark", "place", "first", "leasts").mapInArrow(spans, SPANS)
 
-def _repeats(texts: DataFrame, p: SuffixParams) -> DataFrame:
-    """``(mark, place, spans)`` of the texts with strings that stand in a smaller place."""
-    anchors = _anchors(texts, p)
-    shared = anchors.groupBy("hash").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi").select("hash")
-    hits = anchors.join(shared.hint("shuffle_hash"), "hash", "left_semi").groupBy("mark")
-    hits = stage(hits.agg(F.collect_set("hash").alias("hashes")), "suffix-hits")
-    marks = hits.select("mark")
-    again = texts.join(small(marks, marks.count()), "mark", "left_semi").join(hits, "mark")
-    found = stage(_passages(again, p), "suffix-passages")
 
+def _common_spans(found: DataFrame, p: SuffixParams) -> DataFrame:
+    """Spans of the passages of common anchors, of which there may be any number.
+
+    Equal passages are brought together first, so a shard holds each once; they meet their
+    occurrences again in a join. An anchor that still has very many is dealt over several shards.
+    """
     passages = found.groupBy("hash", "passage").agg(F.min("place").alias("least"), F.max("place").alias("last"))
     passages = stage(passages, "suffix-distinct")
     size = passages.agg(F.coalesce(F.sum(F.length("passage")), F.lit(0))).first()[0]
     shards = max(1, -(-size // p.shard_bytes))
     wide = stage(passages.groupBy("hash").count().where(F.col("count") > p.wide).select("hash", F.lit(True).alias("wide")), "suffix-wide")
-    # Equal strings have equal anchors, so an anchor's passages meet in one shard unless they are too many.
     dealt = passages.join(wide, "hash", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     shard = F.pmod(F.when(F.col("wide"), F.xxhash64("passage")).otherwise(F.xxhash64("hash")), F.lit(shards))
     solved = stage(_shard_results(dealt.withColumn("shard", shard), p), "suffix-solved")
@@ -353,6 +375,32 @@ def _repeats(texts: DataFrame, p: SuffixParams) -> DataFrame:
         )
         single = single.join(merged, "string").select("mark", "place", "first", F.array("least").alias("leasts"))
         spans = spans.unionByName(_starts_to_spans(single, p.span))
+    return spans
+
+
+def _repeats(texts: DataFrame, p: SuffixParams) -> DataFrame:
+    """``(mark, place, spans)`` of the texts with strings that stand in a smaller place."""
+    anchors = _anchors(texts, p)
+    shared = anchors.groupBy("hash").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"), F.count("*").alias("n"))
+    shared = shared.where("lo < hi").select("hash", (F.col("n") > p.common).alias("common"))
+    hits = anchors.join(shared.hint("shuffle_hash"), "hash").groupBy("mark").agg(
+        *[F.collect_set(F.when(F.col("common") == common, F.col("hash"))).alias(name) for name, common in (("rare", False), ("often", True))]
+    )
+    hits = stage(hits, "suffix-hits")
+
+    def passages(hashes: str) -> DataFrame:
+        held = hits.where(F.size(hashes) > 0).select("mark", F.col(hashes).alias("hashes"))
+        marks = held.select("mark")
+        return _passages(texts.join(small(marks, marks.count()), "mark", "left_semi").join(held, "mark"), p)
+
+    # Equal strings have equal anchors, so they meet in one shard.
+    rare = hits.agg(F.coalesce(F.sum(F.size("rare")), F.lit(0))).first()[0]
+    shards = max(1, -(-rare * (2 * p.span - p.gram) // p.shard_bytes))
+    dealt = passages("rare").withColumn("shard", F.pmod(F.xxhash64("hash"), F.lit(shards)))
+    spans = stage(_shard_spans(dealt, p), "suffix-rare")
+    often = stage(passages("often"), "suffix-often")
+    if not often.isEmpty():
+        spans = spans.unionByName(_common_spans(often, p))
     return stage(spans.groupBy("mark", "place").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "suffix-spans")
 
 
@@ -399,13 +447,13 @@ def remove_repeats(
     1. Equal texts: all but those with the smallest id are removed whole, by digest.
     2. A string can only be repeated if its anchor (see ``anchored``) occurs in two texts. One
        scan sends each text's anchors, a few for a hundred bytes, to be compared.
-    3. Texts with shared anchors are read again for the bytes around these, and equal passages
-       become one with the smallest and largest id.
-    4. Passages are dealt by anchor to shards of bounded size. Each shard is sorted into a suffix
-       array; common prefixes of neighbours give the classes of equal strings and the
-       smallest id of each. The sorted strings of an anchor with very many passages, which is
-       dealt over several shards, are merged across them by ranges.
-    5. Each passage's place in its texts is marked where an equal string has a smaller id.
+    3. Texts with shared anchors are read again for the passages around these, which are dealt
+       by anchor to shards of bounded size. Each shard is sorted into a suffix array; common
+       prefixes of neighbours give the classes of equal strings and the smallest id of each,
+       and each passage is marked where an equal string has a smaller id.
+    4. Passages of an anchor that occurs very often are told apart first and meet their
+       occurrences afterwards. If even the different ones are very many, they are dealt over
+       several shards, whose sorted strings are merged across them by ranges.
 
     A null id is larger than any other, and equal ids are not smaller than each other; a row found
     twice is the same document. Null texts are empty. Texts shorter than ``span`` lose nothing. An
