@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Fits that run side by side share the executors evenly.
+    "spark.scheduler.mode": "FAIR",
 }
 
 

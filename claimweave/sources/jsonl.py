@@ -53,6 +53,36 @@ def read_claims_jsonl(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out
 
 
+def split_claims(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Claims that can be used, as from :func:`read_claims_jsonl`, and all other lines with a ``reason``.
+
+    A line is rejected as ``malformed`` if it is no JSON object of the expected types, as ``no_id`` or
+    ``no_claim`` if that is missing or blank, and as ``no_evidence`` if no document has a first
+    rationale with an accepted label. Rejected rows are ``(split, query_id, reason, line)``, with the
+    whole line of a malformed one. Blank lines are no lines. The files are read once per result.
+    """
+    declared = f"{CLAIMS_SCHEMA}, _corrupt string"
+    read = None
+    for source, path in paths.items():
+        part = spark.read.schema(declared).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        part = part.withColumn("split", F.lit(CLAIM_SPLITS.get(source, source)))
+        read = part if read is None else read.unionByName(part)
+    words = F.array(*[F.lit(w) for w in EVIDENCE_WORDS])
+    first = F.transform(F.map_values("evidence"), lambda r: F.upper(F.try_element_at(r, F.lit(1))["label"]))
+    reason = (
+        F.when(F.col("_corrupt").isNotNull(), "malformed")
+        .when(clean("id") == "", "no_id")
+        .when(clean("claim") == "", "no_claim")
+        .when(~F.coalesce(F.arrays_overlap(first, words), F.lit(False)), "no_evidence")
+    )
+    checked = read.withColumn("reason", reason)
+    good = checked.where(F.col("reason").isNull()).select("split", F.col("id").alias("query_id"), "claim", "evidence")
+    bad = checked.where(F.col("reason").isNotNull()).select(
+        "split", F.when(F.col("reason") != "malformed", F.col("id")).alias("query_id"), "reason", F.col("_corrupt").alias("line")
+    )
+    return good, bad
+
+
 def explode_evidence(claims: DataFrame) -> DataFrame:
     """``(split, query_id, doc_id, label)`` with the label of the first rationale per document.
 

@@ -162,3 +162,41 @@ def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.max("o_totalprice") / 550000, 6).alias("max_cos"),
         )
     )
+
+
+def dialog_stance(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Corpus, claims with a split and stance evidence of ``conversations``.
+
+    The answer to a question supports it in conversations with an even id and refutes it in others.
+    """
+    documents, questions, judged = dialog(spark, sf_dir)
+    even = F.floor(F.col("query_id").cast("long") / 1000) % 2 == 0
+    evidence = judged.withColumn("label", F.when(even, "SUPPORT").otherwise("CONTRADICT"))
+    return documents, questions.join(judged.select("split", "query_id").distinct(), "query_id"), evidence
+
+
+def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(split, value)``: a JSON line for every passage, with its judged documents as evidence.
+
+    To have lines of every kind, labels, ids, claims and lines are spoilt by fixed rules on the ids.
+    """
+    document = F.col("doc_id").cast("long")
+    label = F.when(document % 5 == 0, "nei").when(document % 7 == 0, "maybe").otherwise(F.col("label"))
+    rationale = F.struct(F.array(F.lit(0)).alias("sentences"), label.alias("label"))
+    rationales = F.when(document % 11 == 0, F.slice(F.array(rationale), 1, 0)).otherwise(F.array(rationale))
+    found = stance_evidence(spark, sf_dir).groupBy("query_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("doc_id", rationales.alias("r")))).alias("evidence")
+    )
+    item = F.col("query_id").cast("long")
+    line = F.to_json(
+        F.struct(
+            F.when(item % 9 != 4, F.col("query_id")).alias("id"),
+            F.when(item % 9 == 5, " ").otherwise(F.col("claim")).alias("claim"),
+            F.coalesce("evidence", F.from_json(F.lit("{}"), "map<string, array<struct<sentences: array<int>, label: string>>>")).alias(
+                "evidence"
+            ),
+        )
+    )
+    spoilt = F.when(item % 9 == 6, F.concat(F.lit('{"id": "'), "query_id", F.lit('", "claim": "cut o'))).otherwise(line)
+    rows = claims(spark, sf_dir).join(found, "query_id", "left")
+    return rows.select(F.when(item % 4 == 0, "validation").otherwise("train").alias("split"), spoilt.alias("value"))

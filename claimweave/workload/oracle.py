@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from claimweave.config import CLASSIFIER_FAMILIES, RELEVANCE_LABELS, STANCE_LABELS
 from claimweave.functions.stats import Z_95
 from claimweave.functions.text import ENGLISH_STOP_WORDS, TERM_PATTERN, WHITESPACE
 from claimweave.workload.queries import (
@@ -377,6 +378,41 @@ LABELLED = {
 }
 
 
+DIALOG_STANCE = {
+    **{name: DIALOG[name] for name in ("turns", "corpus", "claims", "qrels")},
+    "evidence": "SELECT split, query_id, doc_id, CASE WHEN (query_id::BIGINT // 1000) % 2 = 0 "
+    "THEN 'SUPPORTS' ELSE 'REFUTES' END AS label FROM qrels",
+    "excluded": STANCE["excluded"],
+    "asked": STANCE["asked"],
+}
+
+# Claim lines as the binding writes them, and what becomes of each.
+CLAIM_LINES = {
+    **{name: STANCE[name] for name in ("qrels", "evidence")},
+    "words": "SELECT query_id, doc_id, CASE WHEN doc_id::BIGINT % 11 = 0 OR doc_id::BIGINT % 5 = 0 OR doc_id::BIGINT % 7 = 0 "
+    "THEN NULL WHEN label = 'SUPPORTS' THEN 'SUPPORT' ELSE 'CONTRADICT' END AS label FROM evidence",
+    "lines": "SELECT CASE WHEN item_id % 4 = 0 THEN 'test' ELSE 'train' END AS split, item_id::VARCHAR AS query_id, "
+    "CASE WHEN item_id % 9 = 6 THEN 'malformed' WHEN item_id % 9 = 4 THEN 'no_id' WHEN item_id % 9 = 5 THEN 'no_claim' "
+    "WHEN item_id::VARCHAR NOT IN (SELECT query_id FROM words WHERE label IS NOT NULL) THEN 'no_evidence' END AS reason "
+    "FROM benchmark",
+}
+
+
+def comparison(rows: str, labels: dict[str, int], variants: str) -> str:
+    """What has to hold of every fit on the pairs ``rows``."""
+    support = ", ".join(
+        f"count(*) FILTER (split = 'test' AND label_id = {i}) AS support_{name.lower()}" for name, i in labels.items()
+    )
+    families = ", ".join(f"'{f}'" for f in CLASSIFIER_FAMILIES)
+    test = "count(*) FILTER (split = 'test')"
+    return (
+        f"SELECT field_variant, classifier, {4 * DIM + 1}::INTEGER AS feature_dim, "
+        f"count(*) FILTER (split = 'train') AS train_rows, {test} AS test_rows, true AS in_range, "
+        f"{test} AS n_predictions, {test} AS n_known, {test} AS n_scored, {support} "
+        f"FROM ({rows}) r, (SELECT unnest([{families}]) AS classifier) WHERE field_variant IN ({variants}) GROUP BY ALL"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     idx = {**PASSAGES, **index()}
     sim = {**idx, **SIMILARITY}
@@ -390,6 +426,7 @@ def oracle_sql() -> dict[str, str]:
         **HARD,
         "splits": "SELECT DISTINCT split, query_id FROM evidence",
     }
+    talk_stance = {**DIALOG_STANCE, **index(), **SIMILARITY, **RANDOM, **HARD, "splits": stance["splits"]}
     every_hard = {**pairs, "asked": "SELECT DISTINCT query_id FROM claims"}
     block = lambda name, i: (
         f"round(list_sum({name}), 6) AS sum_{i}, "
@@ -468,6 +505,33 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT doc_id, md5({strip('title')}) AS title_md5, md5({strip('a')}) AS abstract_md5 FROM (SELECT *, "
             "CASE WHEN doc_id::BIGINT % 2 = 0 THEN replace(abstract, chr(10), ' ') ELSE abstract END AS a FROM corpus)",
         ),
+        "claims_jsonl": sql(
+            CLAIM_LINES,
+            "SELECT split, query_id, doc_id, label FROM lines JOIN words USING (query_id) "
+            "WHERE reason IS NULL AND label IS NOT NULL",
+        ),
+        "rejected_claims": sql(
+            CLAIM_LINES,
+            "SELECT split, CASE WHEN reason IN ('no_claim', 'no_evidence') THEN query_id END AS query_id, reason, "
+            """CASE WHEN reason = 'malformed' THEN '{"id": "' || query_id || '", "claim": "cut o' END AS line """
+            "FROM lines WHERE reason IS NOT NULL",
+        ),
+        "train_compare": sql(
+            talk, comparison(RELEVANCE_ROWS, RELEVANCE_LABELS, "'title', 'abstract', 'title_abstract'")
+        ),
+        "train_compare_stance": sql(talk_stance, comparison(STANCE_ROWS, STANCE_LABELS, "'title_abstract'")),
+        "model_roundtrip": sql(
+            talk_stance,
+            f"SELECT query_id, doc_id, label_id, 'logistic_regression' AS classifier, {4 * DIM + 1}::INTEGER AS feature_dim, "
+            f"true AS same FROM ({STANCE_ROWS}) r WHERE split = 'test' AND field_variant = 'title_abstract'",
+        ),
+        "evidence_search_fitted": sql(
+            TEXT_HITS,
+            "SELECT query_id, doc_id, round(cosine, 3) AS retrieval_cos, "
+            "'[' || t || '](https://www.semanticscholar.org/paper/CorpusID:' || doc_id || ')' AS source, "
+            "count(*) OVER (PARTITION BY query_id) AS n_counted, true AS sums_to_one, true AS ranked "
+            "FROM hits JOIN passages USING (doc_id)",
+        ),
         "relevance_pairs_dialog": sql(talk, RELEVANCE_ROWS),
         "stance_pairs": sql(stance, STANCE_ROWS),
         "confusion_matrix": sql(

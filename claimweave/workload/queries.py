@@ -27,7 +27,7 @@ from claimweave.operators import retrieval as rt
 from claimweave.operators import tfidf
 from claimweave.operators.encode import HashedTermEncoder, encode_claims, fit_hashed_encoder
 from claimweave.operators.moments import feature_moments
-from claimweave.plans import classify, encoding, pairs, search, training
+from claimweave.plans import classify, encoding, pairs, publishing, search, training
 from claimweave.session import stage, staging_path
 from claimweave.sources import artifacts, jsonl, pair_tables
 from claimweave.sources.benchmark import as_qrels
@@ -170,6 +170,25 @@ def corpus_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("doc_id", F.md5("title").alias("title_md5"), F.md5("abstract").alias("abstract_md5"))
 
 
+def _claims_read(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    lines = stage(bd.claim_lines(spark, sf), "claim_lines")
+    paths = {}
+    for split in ("train", "validation"):
+        paths[split] = staging_path(spark, f"claims_{split}")
+        lines.where(F.col("split") == split).select("value").write.text(paths[split])
+    return jsonl.split_claims(spark, paths)
+
+
+def claims_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence of the claims written as JSON lines and read back: one row per judged document."""
+    return jsonl.explode_evidence(_claims_read(spark, sf)[0])
+
+
+def rejected_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of the same files that are no usable claims, and why."""
+    return _claims_read(spark, sf)[1]
+
+
 def pairs_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Relevance pairs written as CSV and read back."""
     paths = pair_tables.write_pairs_csv(stage(relevance_pairs(spark, sf), "pairs"), staging_path(spark, "pairs_csv"), "pairs")
@@ -512,9 +531,93 @@ def _dialog_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return stage(training.pair_vectors(rows, HashedTermEncoder(DIM)), "pair_vectors")
 
 
+def _checked_comparison(result: training.Comparison, labels: dict[str, int]) -> DataFrame:
+    """One row per variant and classifier with what has to hold of any fit.
+
+    ``n_scored`` counts test pairs with probabilities that sum to 1 or else a margin.
+    """
+    total = F.aggregate("probabilities", F.lit(0.0), lambda x, y: x + y)
+    scored = (F.abs(total - 1) < 1e-6) | F.col("decision_score").isNotNull()
+    told = result.predictions.groupBy("field_variant", "classifier").agg(
+        F.count("*").alias("n_predictions"),
+        F.count_if(F.col("prediction_id").isin(list(labels.values()))).alias("n_known"),
+        F.count_if(scored).alias("n_scored"),
+        *[F.count_if(F.col("label_id") == i).alias(f"support_{name.lower()}") for name, i in labels.items()],
+    )
+    whole = (F.col("accuracy").between(0, 1) & F.col("macro_f1").between(0, 1)).alias("in_range")
+    sizes = result.scores.select("field_variant", "classifier", "feature_dim", "train_rows", "test_rows", whole)
+    return sizes.join(told, ["field_variant", "classifier"])
+
+
 def train_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """All families on all variants with the full settings, checked against the pairs they were fitted on."""
     features = stage(training.pair_feature_rows(_dialog_vectors(spark, sf)), "features")
-    return training.train_and_compare(features, RELEVANCE_LABELS, TrainParams()).scores
+    result = training.train_and_compare(features, RELEVANCE_LABELS, TrainParams(), store_root=staging_path(spark, "fits"))
+    return _checked_comparison(result, RELEVANCE_LABELS)
+
+
+def _stance_features(spark: SparkSession, sf: str) -> DataFrame:
+    corpus, claims, evidence = bd.dialog_stance(spark, sf)
+    rows = stage(pairs.build_stance_pairs(corpus, claims, evidence), "stance_pairs")
+    vectors = stage(training.pair_vectors(rows, HashedTermEncoder(DIM)), "pair_vectors")
+    return stage(training.pair_feature_rows(vectors), "features")
+
+
+def train_compare_stance(spark: SparkSession, sf: str) -> DataFrame:
+    """The three-class comparison with the full settings, on the variant of title and abstract."""
+    features = _stance_features(spark, sf)
+    result = training.train_and_compare(features, STANCE_LABELS, TrainParams(), ["title_abstract"])
+    return _checked_comparison(result, STANCE_LABELS)
+
+
+def _published_stance(spark: SparkSession, features: DataFrame) -> tuple[training.Comparison, publishing.Published]:
+    lr = TrainParams(families=("logistic_regression",))
+    result = training.train_and_compare(features, STANCE_LABELS, lr, ["title_abstract"])
+    root = staging_path(spark, "published")
+    publishing.publish(spark, result, STANCE_LABELS, root, "claimweave", f"hashed-{DIM}")
+    return result, publishing.load_current(spark, root)
+
+
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Test pairs predicted by a fitted stance model and by the same model published and loaded."""
+    features = _stance_features(spark, sf)
+    result, current = _published_stance(spark, features)
+    asked = features.where((F.col("field_variant") == current.metadata.field_variant) & (F.col("split") == "test"))
+    loaded = md.predict(current.model, asked, current.labels).select(
+        "query_id", "doc_id", F.col("prediction_id").alias("loaded_id"), F.col("probabilities").alias("loaded")
+    )
+    largest = F.array_max(F.zip_with("probabilities", "loaded", lambda x, y: F.abs(x - y)))
+    both = result.predictions.join(loaded, ["query_id", "doc_id"])
+    return both.select(
+        "query_id",
+        "doc_id",
+        "label_id",
+        F.lit(current.metadata.classifier).alias("classifier"),
+        F.lit(current.metadata.feature_dim).alias("feature_dim"),
+        ((F.col("prediction_id") == F.col("loaded_id")) & (largest < 1e-9)).alias("same"),
+    )
+
+
+def evidence_search_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence search with the published stance model; as many hits are shown as are retrieved."""
+    _, current = _published_stance(spark, _stance_features(spark, sf))
+    encoder = _text_encoder(spark, sf)
+    store = stage(encoding.encode_corpus(bd.corpus(spark, sf), encoder), "store")
+    claims = stage(encode_claims(bd.claims(spark, sf), encoder), "claims")
+    every = SearchParams(**{**TEXT_SEARCH.__dict__, "top_n": TEXT_SEARCH.top_k})
+    hits, summary = search.search_evidence(claims, store, md.model_scorer(current.model), every)
+    total = F.col("p_supports") + F.col("p_refutes") + F.col("p_nei")
+    counted = F.col("supports") + F.col("refutes") + F.col("nei") + F.col("uncertain")
+    shown = hits.join(summary.select("query_id", counted.alias("n_counted")), "query_id")
+    return shown.select(
+        "query_id",
+        "doc_id",
+        "retrieval_cos",
+        "source",
+        "n_counted",
+        (F.abs(total - 1) < 0.002).alias("sums_to_one"),
+        F.col("rank").between(1, every.top_n).alias("ranked"),
+    )
 
 
 def feature_ablation(spark: SparkSession, sf: str) -> DataFrame:
@@ -543,6 +646,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         load_qrels,
         corpus_jsonl,
+        claims_jsonl,
+        rejected_claims,
         pairs_csv,
         pairs_published,
         vector_store_integrity,
@@ -595,6 +700,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         coverage_class,
         evidence_trend,
         train_compare,
+        train_compare_stance,
+        model_roundtrip,
+        evidence_search_fitted,
         feature_ablation,
         classify_pairs,
     )
