@@ -12,9 +12,6 @@ from claimweave.operators import positions as pos
 from claimweave.operators import tfidf
 from claimweave.session import run_together, stage
 
-# Exclusions up to which a claim is cut to its best documents before they are applied.
-EXCLUSION_SLACK = 64
-
 
 def _draw(seed: int, slot: Column, upper: Column) -> Column:
     """Uniform integer in [0, upper] from the first 60 bits of md5(seed|query|slot)."""
@@ -67,33 +64,17 @@ def random_negatives(
 
 
 def top_outside(
-    score: Callable[[DataFrame], DataFrame],
-    vectors: DataFrame,
-    excluded: DataFrame,
-    k: int,
-    slack: int = EXCLUSION_SLACK,
+    top: Callable[[DataFrame], DataFrame], claims: DataFrame, excluded: DataFrame, k: int
 ) -> DataFrame:
-    """Top ``k`` of ``score(vectors)`` per (variant, claim) outside ``excluded``.
+    """Top ``k`` documents per (variant, claim) outside ``excluded``.
 
-    A claim with at most ``slack`` exclusions is cut to its top ``k + slack`` where the scores
-    arise, and only those rows meet the exclusions. Claims with more (there can be no more than
-    ``1 / slack`` of the exclusions) have all their scores compared.
+    ``top`` gives each claim's best documents for ``(query_id, depth)``. A claim asks for ``k`` more than
+    it excludes, so only rows that can matter meet the exclusions.
     """
-    heavy = stage(
-        excluded.groupBy("query_id").agg(F.count("*").alias("_n")).where(F.col("_n") > slack),
-        "heavy_claims",
-    ).select("query_id")
-    pairs = ["query_id", "doc_id"]
-    if heavy.isEmpty():
-        kept = tfidf.top_similar(score(vectors), k + slack).join(excluded, pairs, "left_anti")
-    else:
-        light = tfidf.top_similar(
-            score(vectors.join(heavy, "query_id", "left_anti")), k + slack
-        ).join(excluded, pairs, "left_anti")
-        rest = score(vectors.join(heavy, "query_id", "left_semi")).join(
-            excluded, pairs, "left_anti"
-        )
-        kept = light.drop("rank").unionByName(rest)
+    counts = excluded.groupBy("query_id").agg(F.count("*").alias("_n"))
+    depth = claims.select("query_id").distinct().join(counts, "query_id", "left")
+    depth = depth.select("query_id", (F.coalesce("_n", F.lit(0)) + k).alias("depth"))
+    kept = top(stage(depth, "depth")).join(excluded, ["query_id", "doc_id"], "left_anti")
     return tfidf.top_similar(kept, k).select("field_variant", "query_id", "doc_id", "score")
 
 
@@ -198,7 +179,7 @@ def choose_negatives(
     )
     taken = excluded.unionByName(randoms)
     top = top_outside(
-        lambda part: tfidf.similarity(terms, vocabulary, part), vectors, taken, params.n_hard
+        lambda depth: tfidf.top_documents(terms, vocabulary, vectors, depth), claims, taken, params.n_hard
     )
     hard = hard_negatives(
         claims, stage(top, "hard_scored"), taken, positions, n_docs, params.n_hard, variants

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,11 @@ SCORE_DECIMALS = 6
 # Rows of claim vectors broadcast at a time (some 100 bytes each).
 CLAIM_TERM_ROWS = 2_000_000
 
+# A vocabulary up to this many rows (counted) is sent to the tasks whole, and claim vectors and
+# kept documents are in memory for this many rows at a time.
+VOCABULARY_ROWS = 1_000_000
+BLOCK_ROWS = 500_000
+
 
 def document_terms(
     corpus: DataFrame,
@@ -202,3 +210,162 @@ def top_similar(scored: DataFrame, k: int) -> DataFrame:
     """
     best = Window.partitionBy("field_variant", "query_id").orderBy(F.desc("score"), "doc_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+class _Claims:
+    """Claim vectors of one variant over the numbers of its vocabulary terms."""
+
+    def __init__(self, terms: list[str], idf: list[float], rows: list[tuple[str, str, float]], depth: dict[str, int]):
+        self.terms, self.idf = pa.array(terms, pa.string()), np.array(idf)
+        number = {t: i for i, t in enumerate(terms)}
+        vectors: dict[str, list[tuple[int, float]]] = {}
+        for query_id, term, weight in rows:
+            vectors.setdefault(query_id, []).append((number[term], weight))
+        self.vectors = {q: (np.array([t for t, _ in v]), np.array([w for _, w in v])) for q, v in vectors.items()}
+        self.depth = {q: depth[q] for q in vectors}
+
+    def postings(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(documents, weights, start, largest)`` by term: unit-length documents, inverted."""
+        lists = batch.column("terms")
+        flat = lists.flatten()
+        document = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        term = pc.index_in(flat.field("term"), value_set=self.terms).fill_null(-1).to_numpy(zero_copy_only=False)
+        known = term >= 0
+        document, term = document[known], term[known]
+        weight = flat.field("tf").to_numpy()[known] * self.idf[term]
+        norm = np.sqrt(np.bincount(document, weight * weight, batch.num_rows))
+        weight = weight / norm[document]
+        order = np.argsort(term, kind="stable")
+        start = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
+        largest = np.zeros(len(self.terms))
+        used = np.flatnonzero(np.diff(start))
+        if len(used):
+            largest[used] = np.maximum.reduceat(weight[order], start[used])
+        return document[order], weight[order], start, largest
+
+
+def _score_claim(terms, weights, postings, n_docs: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that may reach ``floor`` and their scores, by MaxScore.
+
+    No document scores more on a term than the largest weight it has here. Terms are taken from the
+    strongest; once those left cannot reach ``floor`` together, no new document can come in, and
+    documents that cannot reach it any more are dropped before the rest are added.
+    """
+    documents, values, start, largest = postings
+    bound = weights * largest[terms]
+    order = np.argsort(-bound)
+    left = np.r_[np.cumsum(bound[order][::-1])[::-1], 0.0]
+    score = np.zeros(n_docs)
+    alive = None
+    for i, k in enumerate(order):
+        if bound[k] <= 0:
+            break
+        lo, hi = start[terms[k]], start[terms[k] + 1]
+        if alive is None and left[i] < floor:
+            alive = np.flatnonzero(score > 0)
+        if alive is None:
+            score[documents[lo:hi]] += weights[k] * values[lo:hi]
+            continue
+        alive = alive[score[alive] + left[i] >= floor]
+        if not len(alive):
+            break
+        if len(alive) * 8 < hi - lo:
+            at = lo + np.searchsorted(documents[lo:hi], alive)
+            hit = at < hi
+            hit[hit] = documents[at[hit]] == alive[hit]
+            score[alive[hit]] += weights[k] * values[at[hit]]
+        else:
+            score[documents[lo:hi]] += weights[k] * values[lo:hi]
+    found = np.flatnonzero(score > 0) if alive is None else alive
+    return found, score[found]
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, depth: int) -> np.ndarray:
+    """Places of the ``depth`` best: score descending, then id."""
+    if len(scores) > depth:
+        cut = np.partition(scores, len(scores) - depth)[len(scores) - depth]
+        keep = np.flatnonzero(scores >= cut)
+    else:
+        keep = np.arange(len(scores))
+    return keep[np.lexsort((ids[keep], -scores[keep]))[:depth]]
+
+
+def top_documents(doc_terms: DataFrame, vocabulary: DataFrame, claims: DataFrame, depth: DataFrame) -> DataFrame:
+    """``(field_variant, query_id, doc_id, score)``: each claim's best documents in every variant.
+
+    ``claims`` is the staged output of :func:`claim_vectors` and ``depth`` ``(query_id, depth)`` how many
+    documents a claim gets at most. Documents are weighed and scored where they are read: the
+    vocabulary and a block of claims are sent to the tasks, postings are never exchanged, and of
+    each claim only its best documents leave a task. A task carries the score a document has to
+    reach from batch to batch and leaves out what cannot reach it (:func:`_score_claim`).
+    Claims beyond ``BLOCK_ROWS`` terms and kept documents take further scans, one after the other. A
+    vocabulary beyond ``VOCABULARY_ROWS`` is not sent but joined (:func:`similarity`).
+    """
+    if vocabulary.count() > VOCABULARY_ROWS:
+        return _ranked(similarity(doc_terms, vocabulary, claims).join(depth, "query_id"))
+    words: dict[str, tuple[list[str], list[float]]] = {}
+    for r in vocabulary.select("field_variant", "term", "idf").toLocalIterator():
+        held = words.setdefault(r.field_variant, ([], []))
+        held[0].append(r.term)
+        held[1].append(r.idf)
+    sizes = claims.groupBy("query_id").agg(F.count("*").alias("n")).join(depth, "query_id")
+    total = sizes.agg(F.coalesce(F.sum(F.col("n") + F.col("depth")), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // BLOCK_ROWS))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        vectors = claims.where(block == i).join(depth, "query_id").collect()
+        depths = {r.query_id: r.depth for r in vectors}
+        index = {}
+        for variant, (terms, idfs) in words.items():
+            rows = [(r.query_id, r.term, r.query_weight) for r in vectors if r.field_variant == variant]
+            index[variant] = _Claims(terms, idfs, rows, depths)
+        part = stage(_ranked(_scan_block(doc_terms, index).join(depth, "query_id")), "top_documents")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _ranked(scored: DataFrame) -> DataFrame:
+    best = Window.partitionBy("field_variant", "query_id").orderBy(F.desc("score"), "doc_id")
+    kept = scored.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= F.col("depth"))
+    return kept.select("field_variant", "query_id", "doc_id", "score")
+
+
+def _scan_block(doc_terms: DataFrame, index: dict[str, _Claims]) -> DataFrame:
+    sent = doc_terms.sparkSession.sparkContext.broadcast(index)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = {}
+        for whole in batches:
+            for variant, claims in sent.value.items():
+                batch = whole.filter(pc.equal(whole.column("field_variant"), variant))
+                if not batch.num_rows or not claims.vectors:
+                    continue
+                ids = np.array([d.as_py().encode() for d in batch.column("doc_id")], object)
+                postings = claims.postings(batch)
+                for query_id, (terms, weights) in claims.vectors.items():
+                    depth = claims.depth[query_id]
+                    old = held.get((variant, query_id))
+                    # Half a unit of the last kept decimal, so that rounding cannot lift a left-out one.
+                    floor = old[1][-1] - 10.0**-SCORE_DECIMALS if old and len(old[1]) == depth else 0.0
+                    at, score = _score_claim(terms, weights, postings, batch.num_rows, floor)
+                    score = np.round(score, SCORE_DECIMALS)
+                    at, score = at[score > 0], score[score > 0]
+                    if not len(at):
+                        continue
+                    names = ids[at] if old is None else np.concatenate([old[0], ids[at]])
+                    score = score if old is None else np.concatenate([old[1], score])
+                    best = _best(names, score, depth)
+                    held[variant, query_id] = names[best], score[best]
+        for (variant, query_id), (names, score) in held.items():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "field_variant": pa.array([variant] * len(score), pa.string()),
+                    "query_id": pa.array([query_id] * len(score), pa.string()),
+                    "doc_id": pa.array([n.decode() for n in names], pa.string()),
+                    "score": pa.array(score, pa.float64()),
+                }
+            )
+
+    declared = "field_variant string, query_id string, doc_id string, score double"
+    return doc_terms.select("doc_id", "field_variant", "terms").mapInArrow(scan, declared)

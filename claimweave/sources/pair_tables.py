@@ -55,9 +55,17 @@ def read_pairs_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({c: F.coalesce(c, F.lit("")) for c in strings}).select(*PAIR_SCHEMA.names)
 
 
-def publish_pairs(pairs: DataFrame, path: str) -> None:
-    """Parquet partitioned by variant and split: readers of one split scan only its files."""
-    pairs.write.mode("overwrite").partitionBy("field_variant", "split").parquet(path)
+def publish_pairs(pairs: DataFrame, path: str, incremental: bool = False) -> None:
+    """Parquet partitioned by variant and split: readers of one split scan only its files.
+
+    Rows are dealt to files by ranges of variant, split, claim and document and are in that order in
+    each. ``incremental`` replaces only the partitions that ``pairs`` has rows of; the files of all
+    others stay as they are.
+    """
+    order = ("field_variant", "split", "query_id", "doc_id")
+    ordered = pairs.repartitionByRange(*order).sortWithinPartitions(*order)
+    mode = "dynamic" if incremental else "static"
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("field_variant", "split").parquet(path)
 
 
 def read_published(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimweave.session import stage
 from claimweave.sources.scan import spread
 
 
@@ -33,25 +34,38 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Passages of fewer than three words that are compared with all texts at a time.
+SHORT_BLOCK = 1000
+
+
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document is relevant to a passage it contains word for word.
 
-    Only a way to obtain judgments from the given tables; real jobs read theirs. The second
-    word of a passage of three or more stands between white space, so any text that contains
-    the passage has it as a whole word: it finds the candidates in an equi-join that carries
-    ids only, and the substring test runs on their texts. Shorter passages have no such word
-    and are tested against every text.
+    Only a way to obtain judgments from the given tables; real jobs read theirs. The inner words
+    of a passage of three or more stand between white space, so any text that contains the
+    passage has each as a whole word. The one that stands in the fewest documents finds the
+    candidates in an equi-join that carries ids only, and the substring test runs on their texts.
+    Shorter passages have no such word; they are compared with the texts block by block.
     """
     words = F.regexp_extract_all(F.col("text"), F.lit(r"\S+"), F.lit(0))
-    passages = table(spark, sf_dir, "benchmark").select(
-        "item_id", F.col("text").alias("claim"), F.regexp_extract("text", r"\S+\s+(\S+)\s+\S", 1).alias("word")
+    asked = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("claim"))
+    listed = asked.select("item_id", F.regexp_extract_all("claim", F.lit(r"\S+"), F.lit(0)).alias("words"))
+    inner = listed.where(F.size("words") > 2).select(
+        "item_id", F.explode(F.array_distinct(F.expr("slice(words, 2, size(words) - 2)"))).alias("word")
     )
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     named = spread(texts).select("doc_id", F.explode(F.array_distinct(words)).alias("word"))
-    candidates = named.join(passages.where("word <> ''"), "word").select("doc_id", "item_id", "claim").distinct()
-    short = F.broadcast(passages.where("word = ''").select("item_id", "claim"))
+    named = stage(named.join(inner.select("word").distinct(), "word", "left_semi"), "passage_words")
+    counts = named.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = inner.join(counts, "word").groupBy("item_id").agg(F.min(F.struct("n", "word"))["word"].alias("word"))
+    candidates = named.join(rarest, "word").select("doc_id", "item_id")
     contained = F.contains(F.col("text"), F.col("claim"))
-    found = candidates.join(texts, "doc_id").where(contained).unionByName(texts.join(short, contained), allowMissingColumns=True)
+    found = candidates.join(asked, "item_id").join(texts, "doc_id").where(contained).select("doc_id", "item_id")
+    short = listed.where(F.size("words") < 3).join(asked, "item_id").select("item_id", "claim")
+    blocks = -(-short.count() // SHORT_BLOCK)
+    for i in range(blocks):
+        block = short.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i)
+        found = found.unionByName(texts.join(F.broadcast(block), contained).select("doc_id", "item_id"))
     return found.select(
         F.when(F.col("item_id") % 4 == 0, "test").otherwise("train").alias("split"),
         F.col("item_id").cast("string").alias("query_id"),

@@ -500,6 +500,35 @@ def oracle_sql() -> dict[str, str]:
         "relevance_pairs": sql(pairs, RELEVANCE_ROWS),
         "pairs_csv": sql(pairs, RELEVANCE_ROWS),
         "pairs_published": sql(pairs, RELEVANCE_ROWS),
+        "pairs_republished": sql(
+            pairs, f"SELECT * FROM ({RELEVANCE_ROWS}) r WHERE split = 'train' OR label = 'relevant'"
+        ),
+        "pairs_quality": sql(
+            {
+                **PASSAGES,
+                "flagged": "SELECT query_id::BIGINT % 5 = 0 AS no_claim, doc_id::BIGINT % 3 = 0 AS no_doc "
+                "FROM (SELECT DISTINCT split, query_id, doc_id FROM qrels)",
+                "checked": f"SELECT role <> 'user' OR {strip('text')} = '' AS no_text, "
+                f"{strip('text')} = '' AS empty FROM conversations",
+            },
+            "SELECT 'n_judged' AS measure, count(*) AS n FROM flagged UNION ALL "
+            "SELECT 'n_missing_claim', count(*) FILTER (no_claim) FROM flagged UNION ALL "
+            "SELECT 'n_missing_document', count(*) FILTER (no_doc) FROM flagged UNION ALL "
+            "SELECT 'n_matched', count(*) FILTER (NOT no_claim AND NOT no_doc) FROM flagged UNION ALL "
+            "SELECT 'n_asked', count(*) FROM checked UNION ALL "
+            "SELECT 'n_empty_claim', count(*) FILTER (no_text) FROM checked UNION ALL "
+            "SELECT 'n_empty_document', count(*) FILTER (NOT no_text AND empty) FROM checked",
+        ),
+        "classify_stream": sql(
+            talk,
+            "SELECT query_id || '/' || doc_id AS request_id, CASE WHEN (query_id::BIGINT // 1000) % 5 = 0 "
+            f"OR {strip('claim')} = '' THEN 'empty_claim' WHEN title = '' AND abstract = '' THEN 'empty_document' "
+            f"ELSE 'scored' END AS status, true AS same FROM ({RELEVANCE_ROWS}) r "
+            "WHERE split = 'test' AND field_variant = 'title_abstract'",
+        ),
+        "recovered_confusion": sql(
+            RULES, "SELECT classifier, label_id, prediction_id, count(*) AS n FROM preds GROUP BY ALL"
+        ),
         "corpus_jsonl": sql(
             PASSAGES,
             f"SELECT doc_id, md5({strip('title')}) AS title_md5, md5({strip('a')}) AS abstract_md5 FROM (SELECT *, "

@@ -31,6 +31,7 @@ from claimweave.plans import classify, encoding, pairs, publishing, search, trai
 from claimweave.session import stage, staging_path
 from claimweave.sources import artifacts, jsonl, pair_tables
 from claimweave.sources.benchmark import as_qrels
+from claimweave.streaming import classify as streaming
 from claimweave.workload import bindings as bd
 
 DIM = 64
@@ -202,6 +203,35 @@ def pairs_published(spark: SparkSession, sf: str) -> DataFrame:
     return pair_tables.read_published(spark, path)
 
 
+def pairs_republished(spark: SparkSession, sf: str) -> DataFrame:
+    """Published pairs whose test split is published again with its relevant pairs only."""
+    rows = stage(relevance_pairs(spark, sf), "pairs")
+    path = staging_path(spark, "pairs_published")
+    pair_tables.publish_pairs(rows, path)
+    again = rows.where((F.col("split") == "test") & (F.col("label") == "relevant"))
+    pair_tables.publish_pairs(again, path, incremental=True)
+    return pair_tables.read_published(spark, path)
+
+
+def pairs_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """What joining the judgments and checking the dialog turns left out.
+
+    Every third document and every fifth passage is taken away first, so that something is missing.
+    """
+    corpus, claims, qrels = bd.passages(spark, sf)
+    known = corpus.where(F.col("doc_id").cast("long") % 3 != 0), claims.where(F.col("query_id").cast("long") % 5 != 0)
+    _, judged = jd.counted_positives(*known, qrels)
+    turns = bd.table(spark, sf, "conversations").select(
+        F.when(F.col("role") == "user", F.col("text")).otherwise(" ").alias("claim"), *bd.title_and_abstract()
+    )
+    _, checked = classify.counted_valid(turns)
+
+    def listed(counts: DataFrame) -> DataFrame:
+        return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("n")) for c in counts.columns])))
+
+    return listed(judged).unionByName(listed(checked))
+
+
 # --- judgments, TF-IDF and negatives ---------------------------------------------------------
 
 
@@ -248,7 +278,8 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
 def tfidf_similarity(spark: SparkSession, sf: str) -> DataFrame:
     terms, vocabulary = _index(spark, sf)
     vectors = stage(tfidf.claim_vectors(bd.claims(spark, sf), vocabulary), "claim_vectors")
-    top = tfidf.top_similar(tfidf.similarity(terms, vocabulary, vectors), 20)
+    depth = vectors.select("query_id", F.lit(20).alias("depth")).distinct()
+    top = tfidf.top_similar(tfidf.top_documents(terms, vocabulary, vectors, depth), 20)
     return top.select("field_variant", "query_id", "doc_id", "score", "rank")
 
 
@@ -308,6 +339,11 @@ def classification_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def recovered_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    """Confusion counts found again from rounded reports."""
+    return mx.confusion_from_report(classification_report(spark, sf), RELEVANCE_LABELS, ["classifier"])
+
+
 def class_balance(spark: SparkSession, sf: str) -> DataFrame:
     return mx.class_balance(bd.labelled_rows(spark, sf))
 
@@ -552,7 +588,7 @@ def _checked_comparison(result: training.Comparison, labels: dict[str, int]) ->
 def train_compare(spark: SparkSession, sf: str) -> DataFrame:
     """All families on all variants with the full settings, checked against the pairs they were fitted on."""
     features = stage(training.pair_feature_rows(_dialog_vectors(spark, sf)), "features")
-    result = training.train_and_compare(features, RELEVANCE_LABELS, TrainParams(), store_root=staging_path(spark, "fits"))
+    result = training.train_and_compare(features, RELEVANCE_LABELS, TrainParams())
     return _checked_comparison(result, RELEVANCE_LABELS)
 
 
@@ -624,7 +660,8 @@ def feature_ablation(spark: SparkSession, sf: str) -> DataFrame:
     return training.ablate_features(_dialog_vectors(spark, sf), RELEVANCE_LABELS, TrainParams())
 
 
-def classify_pairs(spark: SparkSession, sf: str) -> DataFrame:
+def _fitted_on_dialog(spark: SparkSession, sf: str):
+    """Dialog pairs, an encoder, and a regression on titles and abstracts of the training split."""
     rows = stage(pairs.build_relevance_pairs(*bd.dialog(spark, sf)), "pairs")
     encoder = HashedTermEncoder(DIM)
     features = training.pair_feature_rows(training.pair_vectors(rows, encoder))
@@ -632,15 +669,40 @@ def classify_pairs(spark: SparkSession, sf: str) -> DataFrame:
     fitted = training.train_and_compare(
         stage(features, "features"), RELEVANCE_LABELS, lr, ["title_abstract"]
     )
-    model = fitted.models["title_abstract", "logistic_regression"]
     unseen = (F.col("field_variant") == "title_abstract") & (F.col("split") == "test")
-    asked = rows.where(unseen).select(
-        "query_id", "doc_id", "claim", "title", "abstract", "label"
-    )
+    return rows.where(unseen), encoder, fitted.models["title_abstract", "logistic_regression"]
+
+
+def classify_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    rows, encoder, model = _fitted_on_dialog(spark, sf)
+    asked = rows.select("query_id", "doc_id", "claim", "title", "abstract", "label")
     scored = classify.classify_pairs(asked, model, encoder, "title_abstract", RELEVANCE_LABELS)
     return scored.select("query_id", "doc_id", "label", "predicted_label", "probabilities")
 
 
+def classify_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The test pairs as a stream, claims of every fifth conversation blank, against the batch result."""
+    rows, encoder, model = _fitted_on_dialog(spark, sf)
+    spoilt = F.floor(F.col("query_id").cast("long") / 1000) % 5 == 0
+    requests = rows.select(
+        F.concat_ws("/", "query_id", "doc_id").alias("request_id"),
+        F.when(spoilt, " ").otherwise(F.col("claim")).alias("claim"),
+        "title",
+        "abstract",
+    )
+    path, root = staging_path(spark, "requests"), staging_path(spark, "classified")
+    requests.write.json(path)
+    run = streaming.classify_available(
+        streaming.read_requests(spark, path), model, encoder, "title_abstract", RELEVANCE_LABELS, root
+    )
+    run.awaitTermination()
+    batch = classify.classify_pairs(requests, model, encoder, "title_abstract", RELEVANCE_LABELS)
+    both = streaming.read_outcome(spark, root).join(
+        batch.select("request_id", F.col("predicted_label").alias("batch_label")), "request_id", "left"
+    )
+    return both.select("request_id", "status", F.col("predicted_label").eqNullSafe(F.col("batch_label")).alias("same"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.removesuffix("_query"): f
     for f in (
@@ -650,6 +712,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rejected_claims,
         pairs_csv,
         pairs_published,
+        pairs_republished,
+        pairs_quality,
         vector_store_integrity,
         document_text_variants,
         passage_text,
@@ -675,6 +739,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         confusion_matrix,
         accuracy_macro_f1,
         classification_report,
+        recovered_confusion,
         class_balance,
         class_weights,
         variant_summary,
@@ -705,5 +770,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         evidence_search_fitted,
         feature_ablation,
         classify_pairs,
+        classify_stream,
     )
 }

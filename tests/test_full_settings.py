@@ -7,7 +7,6 @@ def test_fitted_queries_use_the_full_settings(monkeypatch):
     monkeypatch.setattr(queries, "_dialog_vectors", lambda spark, sf: None)
     monkeypatch.setattr(queries, "stage", lambda frame, name: frame)
     monkeypatch.setattr(queries.training, "pair_feature_rows", lambda vectors: vectors)
-    monkeypatch.setattr(queries, "staging_path", lambda spark, name: name)
     monkeypatch.setattr(queries, "_stance_features", lambda spark, sf: None)
     monkeypatch.setattr(queries, "_checked_comparison", lambda result, labels: None)
     monkeypatch.setattr(queries.training, "train_and_compare", lambda *a, **k: seen.append(a[2]))

@@ -165,11 +165,52 @@ def test_claim_blocks_and_heavy_claims_change_nothing(spark, monkeypatch):
     excluded = positive_lookup(qrels.unionByName(hot))
     columns = ("field_variant", "query_id", "doc_id", "kind")
     want = rows(ng.choose_negatives(corpus, claims, excluded), *columns)
+    monkeypatch.setattr(tfidf, "BLOCK_ROWS", 60)
+    assert rows(ng.choose_negatives(corpus, claims, excluded), *columns) == want
+    # A vocabulary too large to be sent is joined.
+    monkeypatch.setattr(tfidf, "VOCABULARY_ROWS", 1)
     monkeypatch.setattr(tfidf, "CLAIM_TERM_ROWS", 20)
-    monkeypatch.setattr(ng, "top_outside", lambda *a, _f=ng.top_outside: _f(*a, slack=5))
     assert rows(ng.choose_negatives(corpus, claims, excluded), *columns) == want
 
 
+def test_best_documents_are_those_of_plain_scoring(spark):
+    """Many batches, mass copies and every depth: what MaxScore leaves out never belongs to the best."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    weights = [1 / (i + 1) for i in range(40)]
+    texts = [" ".join(rng.choices(words, weights, k=rng.randrange(0, 30))) for _ in range(500)] + ["w0 w1 w7 w9"] * 80
+    corpus = spark.createDataFrame([(f"d{i:04}", t, "") for i, t in enumerate(texts)], "doc_id string, title string, abstract string")
+    claims = spark.createDataFrame(
+        [(f"q{i}", " ".join(rng.choices(words, k=6))) for i in range(12)] + [("q99", "nothing known")], "query_id string, claim string"
+    )
+    doc_terms = stage(tfidf.document_terms(corpus, ["title"]), "t")
+    vocabulary = tfidf.build_vocabulary(doc_terms, corpus.count())
+    vectors = stage(tfidf.claim_vectors(claims, vocabulary), "v")
+    plain = stage(tfidf.similarity(doc_terms, vocabulary, vectors), "plain")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        for depth in (1, 7, 90, 1000):
+            asked = claims.select("query_id", F.lit(depth).alias("depth"))
+            got = rows(tfidf.top_documents(doc_terms, vocabulary, vectors, asked), "query_id", "doc_id", "score")
+            assert got == rows(tfidf.top_similar(plain, depth), "query_id", "doc_id", "score")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_postings_are_not_exchanged_on_the_way_to_the_claims(spark, sf_dir):
+    corpus, claims, _ = bd.passages(spark, sf_dir)
+    doc_terms = stage(tfidf.document_terms(corpus), "t")
+    vocabulary = tfidf.build_vocabulary(doc_terms, corpus.count())
+    vectors = stage(tfidf.claim_vectors(claims, vocabulary), "v")
+    index = {"title": tfidf._Claims(["a"], [1.0], [("q", "a", 1.0)], {"q": 2})}
+    scored = tfidf._scan_block(doc_terms, index)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "MapInArrow" in plan
+    depth = vectors.select("query_id", F.lit(2).alias("depth")).distinct()
+    top = tfidf.top_documents(doc_terms, vocabulary, vectors, depth)
+    assert "Exchange" not in top._jdf.queryExecution().executedPlan().toString()  # staged
+
+
 def test_vocabulary_cap_keeps_the_most_frequent_terms(spark):
     corpus, _, _ = frames(spark, small_world())
     doc_terms = stage(tfidf.document_terms(corpus), "t")

@@ -152,3 +152,22 @@ def test_spread_leaves_large_scans_alone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("claimweave.sources.scan.SPREAD_LIMIT", scan_bytes(df))
     assert spread(df) is df
     assert spread(df).agg(F.count("*")).first()[0] == 1000
+
+
+def test_publishing_one_split_again_leaves_the_others_files(spark, tmp_path):
+    pairs = spark.createDataFrame(
+        [(s, v, f"q{i}", f"d{i}", "c", "t", "a", "x", "relevant", 1) for i in range(20) for s in ("train", "test") for v in ("title", "abstract")],
+        PAIR_SCHEMA,
+    )
+    path = tmp_path / "published"
+    pair_tables.publish_pairs(pairs, str(path))
+    files = {s: {f: f.stat().st_mtime_ns for f in path.glob(f"*/split={s}/*.parquet")} for s in ("train", "test")}
+    pair_tables.publish_pairs(pairs.where("split = 'test' and query_id < 'q2'"), str(path), incremental=True)
+    assert {f: f.stat().st_mtime_ns for f in path.glob("*/split=train/*.parquet")} == files["train"]
+    assert not files["test"].keys() & set(path.glob("*/split=test/*.parquet"))
+    again = pair_tables.read_published(spark, str(path))
+    assert again.where("split = 'train'").count() == 40
+    assert {r.query_id for r in again.where("split = 'test'").collect()} == {q for q in (f"q{i}" for i in range(20)) if q < "q2"}
+    for f in path.glob("*/split=train/*.parquet"):
+        ids = [r.query_id for r in spark.read.parquet(str(f)).collect()]
+        assert ids == sorted(ids)
