@@ -107,7 +107,32 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
     )
 
 
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows in ``gone``, staged ``(_id, _gone, _one)``, all columns kept.
+
+    A row is known by its id, which may be null or repeat, and the hash of its text (``row_mark``).
+    Where ``_one`` is true one of the rows with that id and text stays.
+    """
+    held = small(gone, gone.count())
+    marked = docs.withColumn("_mark", row_mark(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_gone"))
+    out = marked.join(held, same, "left_anti").drop("_mark")
+    ones = gone.where("_one")
+    several = ones.count()
+    if not several:
+        return out
+    held = small(ones, several)
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_gone"))
+    again = marked.join(held, same, "left_semi")
+    return out.unionByName(again.dropDuplicates([id_col, "_mark"]).drop("_mark"))
+
+
+def row_mark(text_col: str = "text") -> Column:
+    """A hash of a row's text; a null text has one of its own."""
+    return F.xxhash64(F.col(text_col), F.col(text_col).isNull())
+
+
 __all__ = [
-    "BROADCAST_IDS", "WHITE", "WordHashes", "connected_components", "id_bucket", "keep_ids", "mix64",
-    "shingle_hashes", "small", "stage", "text_or_empty",
+    "BROADCAST_IDS", "WHITE", "WordHashes", "connected_components", "drop_rows", "id_bucket", "keep_ids", "mix64",
+    "row_mark", "shingle_hashes", "small", "stage", "text_or_empty",
 ]

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.common import small, stage
+from claimweave.llm.common import drop_rows, row_mark, stage
 
 # Characters of benchmark items that one scan of the documents looks for. More items take more
 # scans, each with an index of bounded size.
@@ -28,8 +27,9 @@ class MatchParams:
 
     ``q`` is the gram length. A match of ``m`` characters with ``k`` edits keeps at least
     ``m - q + 1 - k q`` of the item's grams on ``k + 1`` neighbouring diagonals; where ``rate``
-    leaves none, the budget of that item is cut to the most edits that leave one. Items under
-    ``q`` characters have no gram and match nothing.
+    leaves none, the budget of that item is cut to the most edits that leave one (with the given
+    values at 13 to 19, 25 to 29 and 38 to 39 characters). Items under ``q`` characters have no gram;
+    they match where they stand as whole words, character by character.
     """
 
     q: int = 10
@@ -68,6 +68,10 @@ def folded(text: str) -> tuple[np.ndarray, np.ndarray]:
     return points[a:b], at[a:b]
 
 
+def _as_text(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def gram_hashes(points: np.ndarray, q: int) -> np.ndarray:
     """A hash of each run of ``q`` code points, by doubling."""
     if len(points) < q:
@@ -95,12 +99,15 @@ class GramIndex:
 
     def __init__(self, items: list[tuple[int, str]], params: MatchParams):
         self.params = params
-        self.ids, self.points = [], []
+        self.ids, self.points, short = [], [], {}
         for item_id, text in items:
             points, _ = folded(text or "")
             if len(points) >= params.q:
                 self.ids.append(item_id)
                 self.points.append(points)
+            elif len(points):
+                short.setdefault(_as_text(points), []).append(item_id)
+        self.short = self._automaton(short)
         self.m = np.array([len(p) for p in self.points], np.int64)
         self.k = np.array([params.budget(m) for m in self.m], np.int64)
         self.need = np.maximum(1, self.m - params.q + 1 - self.k * params.q)
@@ -116,6 +123,33 @@ class GramIndex:
         self.table[self.keys >> np.uint64(64 - _TABLE_BITS)] = True
         self.rim = int((self.m + 2 * self.band).max()) + params.q if len(self.m) else 0
 
+    @staticmethod
+    def _automaton(short: dict[str, list]):
+        """Finds all items under ``q`` characters in one pass; None if there are none."""
+        if not short:
+            return None
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for text, ids in short.items():
+            found.add_word(text, (len(text), ids))
+        found.make_automaton()
+        return found
+
+    def short_matches(self, points: np.ndarray) -> Iterator[tuple[int | None, int, int]]:
+        """(item id, start, end) of the first place of each short item, between characters of no word."""
+        if self.short is None:
+            return
+        text, seen = _as_text(points), set()
+        for last, (size, ids) in self.short.iter(text):
+            a, b = last - size + 1, last + 1
+            inside = (a > 0 and text[a - 1].isalnum() and text[a].isalnum()) or (
+                b < len(text) and text[b].isalnum() and text[last].isalnum()
+            )
+            if not inside and (key := text[a:b]) not in seen:
+                seen.add(key)
+                yield from ((i, a, b) for i in ids)
+
     def regions(self, points: np.ndarray) -> set[tuple[int, int]]:
         """(item, first diagonal) of each band that holds enough of the item's grams."""
         found: set[tuple[int, int]] = set()
@@ -191,9 +225,49 @@ class GramIndex:
         for item, (edits, end) in best.items():
             start = self.start(item, points, end)
             out.append((self.ids[item], edits, int(origin[start]), int(origin[end - 1]) + 1))
+        out += [(i, 0, int(origin[a]), int(origin[b - 1]) + 1) for i, a, b in self.short_matches(points)]
         return out
 
 
+def _matches(rows: DataFrame, benchmark: DataFrame, params: MatchParams) -> DataFrame:
+    """``(doc_id, mark, item_id, edits, start, end)`` of the rows ``(doc_id, mark, text)``.
+
+    One scan per block of items. Several blocks run one after the other, each staged, so that
+    the driver and the tasks hold one at a time.
+    """
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
+    items = stage(items.withColumn("number", F.monotonically_increasing_id()), "benchmark-items")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_CHARS))
+    names = ("doc_id", "mark", "item_id", "edits", "start", "end")
+    found = None
+    for block in range(blocks):
+        chosen = items.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == block).orderBy("item_id", "text")
+        held = rows.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in chosen.collect()])
+
+        def find(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            index = GramIndex(held.value, params)
+            for batch in batches:
+                got: dict[str, list] = {c: [] for c in names}
+                for doc_id, mark, text in zip(*(batch.column(c) for c in ("doc_id", "mark", "text")), strict=True):
+                    for values in index.matches(text.as_py() or ""):
+                        for c, v in zip(names, (doc_id.as_py(), mark.as_py(), *values), strict=True):
+                            got[c].append(v)
+                yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in got.items()})
+
+        part = rows.mapInArrow(find, ", ".join(f"{c} long" for c in names))
+        if blocks == 1:
+            return part
+        part = stage(part, "benchmark-found")
+        held.destroy()
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_mark(text_col).alias("mark"), F.col(text_col).alias("text"))
+
+
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, params: MatchParams = MatchParams(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -201,41 +275,19 @@ def find_contamination(
 
     Case and runs of white space do not count. Of several places of an item in a document the
     one with the fewest edits is given, then the first. Items are indexed in blocks of at most
-    ``BLOCK_CHARS`` characters; each block is sent to the tasks and the documents are scanned
+    about ``BLOCK_CHARS`` characters; each block is sent to the tasks and the documents are scanned
     in place, with no shuffle and no candidate pairs outside a task.
 
-    Null and empty texts and items match nothing, as do items under ``q`` characters. Equal
+    Null and empty texts and items match nothing; items under ``q`` characters match as whole
+    words without edits. Items with a null id are found like others and reported under it. Equal
     items and repeated rows are each reported. Empty tables give an empty result; other columns
     are ignored.
     """
-    items = stage(
-        benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text"), "benchmark-items"
-    )
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_CHARS))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    declared = "doc_id long, item_id long, edits long, start long, end long"
-
-    def scan(block: int) -> DataFrame:
-        chosen = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
-        held = docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in chosen.orderBy("item_id", "text").collect()])
-
-        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = GramIndex(held.value, params)
-            for batch in batches:
-                found: dict[str, list[int]] = {c: [] for c in ("doc_id", "item_id", "edits", "start", "end")}
-                for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                    for values in index.matches(text.as_py() or ""):
-                        for c, v in zip(found, (doc_id.as_py(), *values), strict=True):
-                            found[c].append(v)
-                yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in found.items()})
-
-        return rows.mapInArrow(find, declared)
-
-    return reduce(DataFrame.unionByName, map(scan, range(blocks)))
+    return _matches(_rows(docs, id_col, text_col), benchmark, params).drop("mark")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, params: MatchParams = MatchParams()) -> DataFrame:
-    """``docs`` without those that hold a benchmark item; a null id is never dropped."""
-    hit = stage(find_contamination(docs, benchmark, params).select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(small(hit, hit.count()), F.col("doc_id") == F.col("hit_id"), "left_anti")
+    """``docs`` without those that hold a benchmark item; rows are told apart by id and text, so ids may be null or repeat."""
+    hit = _matches(_rows(docs, "doc_id", "text"), benchmark, params)
+    hit = hit.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_gone"), F.lit(False).alias("_one")).distinct()
+    return drop_rows(docs, stage(hit, "contaminated"))

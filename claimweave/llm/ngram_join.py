@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.common import WordHashes, connected_components, mix64, shingle_hashes, small, stage
+from claimweave.llm.common import (
+    WordHashes, connected_components, drop_rows, mix64, row_mark, shingle_hashes, small, stage,
+)
 
 # Tokens in more sets than this come last in every order; at most so many are known as such.
 # Any order is right: these two only shorten the lists that prefixes meet in.
@@ -45,7 +47,7 @@ def token_set(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, params: JoinParams, whole: bool) -> DataFrame:
-    """``(doc_id, n, key, tokens)``: the size, a 128-bit digest and the first or all tokens of each set."""
+    """``(doc_id, mark, n, key, tokens)``: the size, a 128-bit digest and the first or all tokens of each set."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_hexdigest
@@ -63,13 +65,14 @@ def _sets(docs: DataFrame, params: JoinParams, whole: bool) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
+                        "mark": part.column("mark"),
                         "n": pa.array(size, pa.int64()),
                         "key": pa.array(key, pa.string()),
                         "tokens": pa.array(tokens, pa.list_(pa.int64())),
                     }
                 )
 
-    return docs.mapInArrow(read, "doc_id long, n long, key string, tokens array<long>")
+    return docs.mapInArrow(read, "doc_id long, mark long, n long, key string, tokens array<long>")
 
 
 def _prefixes(sets: DataFrame, frequent: list[int], params: JoinParams) -> DataFrame:
@@ -104,26 +107,24 @@ def _prefixes(sets: DataFrame, frequent: list[int], params: JoinParams) -> DataF
 
 
 def _of(frame: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of ``frame`` whose node is in ``pairs``."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    return frame.join(small(ids, ids.count()), "node", "left_semi")
+    """Rows of ``frame`` whose node is in ``pairs``, which is staged."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return frame.join(small(ids, 2 * pairs.count()), "node", "left_semi")
 
 
 def _verified(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` that link: the other orders' filters first, then the whole sets."""
+    """The ``(ca, cb)`` of the ``pairs`` that link: the other orders' filters first, then the whole sets."""
     held = _of(prefixes, pairs).select("node", "p2", "p3")
-    pairs = pairs.select("a", "b", "a_most", "b_most")
     for side in ("a", "b"):
         pairs = pairs.join(held.select(F.col("node").alias(side), F.col("p2").alias(f"{side}2"), F.col("p3").alias(f"{side}3")), side)
     both = [F.arrays_overlap(F.slice(f"a{k}", 1, "a_most"), F.slice(f"b{k}", 1, "b_most")) for k in (2, 3)]
-    pairs = pairs.where(both[0] & both[1]).select("a", "b")
-    pairs = stage(pairs, "join-candidates")
+    pairs = stage(pairs.where(both[0] & both[1]).select("a", "b", "ca", "cb"), "join-candidates")
     held = _of(sets, pairs)
     for side in ("a", "b"):
         pairs = pairs.join(held.select(F.col("node").alias(side), F.col("tokens").alias(f"{side}t")), side)
     shared = F.size(F.array_intersect("at", "bt"))
     union = F.size("at") + F.size("bt") - shared
-    return pairs.where(shared * 100 >= union * params.percent).select("a", "b")
+    return pairs.where(shared * 100 >= union * params.percent).select("ca", "cb").distinct()
 
 
 def _met(sets: DataFrame, params: JoinParams, part: int = 1) -> tuple[DataFrame, list[int]]:
@@ -147,6 +148,105 @@ def _met(sets: DataFrame, params: JoinParams, part: int = 1) -> tuple[DataFrame,
     return met.where((F.col("n") - F.col("own")) * 100 >= F.col("n") * params.percent), [r.token for r in frequent.collect()]
 
 
+def _members(rows: DataFrame, params: JoinParams) -> DataFrame:
+    """``(doc_id, mark, n, class)`` of the rows ``(doc_id, mark, text)``; ``class`` is a number, null without tokens."""
+    first = stage(_sets(rows, params, whole=False).withColumn("row", F.monotonically_increasing_id()), "join-sets")
+    filled = first.where("n > 0")
+    lead = F.min(F.struct("row", "doc_id", "mark"))
+    classes = filled.groupBy("key").agg(lead.alias("lead"), F.count("*").alias("copies"))
+    classes = stage(classes.select("key", F.col("lead.row").alias("node"), "lead.doc_id", "lead.mark", "copies"), "join-classes")
+
+    several = classes.where("copies > 1").select("key", "node")
+    copies = stage(filled.select("row", "key").join(several, "key").where("row <> node").select("row"), "join-copies")
+    nodes = filled.join(small(copies, copies.count()), "row", "left_anti")
+    spread = nodes.select(F.col("row").alias("node"), F.explode("tokens").alias("token"))
+    lone = spread.groupBy("token").agg(F.count("*").alias("count"), F.min("node").alias("node")).where("count = 1")
+    lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
+    fewest = F.expr(f"(({params.percent} * n + 99) div 100) div 25 + 1")
+    told = nodes.select(F.col("row").alias("node"), "doc_id", "mark", "n", F.size("tokens").alias("told")).join(lone, "node", "left")
+    alive = told.where(F.col("told") - F.coalesce("lone", F.lit(0)) >= fewest).select("node", "doc_id", "mark")
+    alive = stage(alive, "join-alive")
+
+    # Found again by id and text: the row that stands for a set, and copies of it with the same id.
+    wanted = alive.select("node", F.col("doc_id").alias("again"), F.col("mark").alias("held"))
+    same = F.col("doc_id").eqNullSafe(F.col("again")) & (F.col("mark") == F.col("held"))
+    found = rows.join(small(wanted, alive.count()), same).select("doc_id", F.col("node").alias("mark"), "text")
+    sets = stage(_sets(found, params, whole=True).select(F.col("mark").alias("node"), "tokens"), "join-whole")
+    if sets.count() > alive.count():  # rows with equal id and text
+        sets = stage(sets.dropDuplicates(["node"]), "join-whole")
+    for part in (4, 1, 1):  # a quarter of the tokens tells most sets without a partner
+        met, frequent = _met(sets, params, part)
+        met = stage(met, "join-met")
+        sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
+    sets = stage(sets, "join-left")
+    prefixes = stage(_prefixes(sets.join(met, "node"), frequent, params).join(met.select("node", "own"), "node"), "join-prefixes")
+
+    # A list is the sets with one token in their prefix, each with the component it is in so far.
+    lists = prefixes.select("node", F.col("node").alias("component"), "n", "own", "common", F.posexplode("p1").alias("at", "token"))
+    places = alive.select("node", F.col("node").alias("class"))
+    for turn in range(HUB_ROUNDS + 1):
+        rank = -F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
+        hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"), F.col("own"), F.col("at")))
+        split = lists.groupBy("token").agg(
+            hub.alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")
+        )
+        split = split.where("lo < hi").select(
+            "token", "many", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "component", "n", "own", "at")]
+        )
+        lists = stage(lists.join(split, "token"), "join-lists")
+        if lists.isEmpty():  # every list is in one component
+            break
+        pairs = stage(_candidates(lists, params, hubs=turn < HUB_ROUNDS), "join-pairs")
+        lists = lists.select("node", "component", "n", "own", "common", "at", "token")
+        links = stage(_verified(pairs, prefixes, sets, params), "join-links")
+        if links.isEmpty():
+            continue
+        # Components of components: only what the new links touch is looked at.
+        moved = connected_components(links, "ca", "cb", name="join-components")
+        moved = moved.select(F.col("node").alias("from"), F.col("component").alias("to"))
+        lists = lists.join(moved, F.col("component") == F.col("from"), "left")
+        lists = lists.withColumn("component", F.coalesce("to", "component")).drop("from", "to")
+        places = places.join(moved, F.col("class") == F.col("from"), "left").select("node", F.coalesce("to", "class").alias("class"))
+
+    named = classes.select("key", "node").join(places, "node", "left").select("key", F.coalesce("class", "node").alias("class"))
+    members = filled.select("doc_id", "mark", "n", "key").join(named, "key").select("doc_id", "mark", "n", "class")
+    return members.unionByName(first.where("n = 0").select("doc_id", "mark", "n", F.lit(None).cast("long").alias("class")))
+
+
+# Members of a list that meet all others of it in one task.
+SALTED = 512
+
+
+def _candidates(lists: DataFrame, params: JoinParams, hubs: bool) -> DataFrame:
+    """``(a, b, ca, cb, a_most, b_most)``: members of a list in different components that may link.
+
+    With ``hubs`` each member meets the hub of its list, else every other one; a long list is then
+    dealt in parts of ``SALTED``, each of which meets all of the list.
+    """
+    if not hubs:
+        own = ["token", "node", "component", "n", "own", "at"]
+        parts = F.ceil(F.col("many") / SALTED).cast("int")
+        left = lists.select(*own, F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
+        other = [F.col(c).alias(f"b_{c}") for c in own[1:]]
+        right = lists.select("token", *other, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        lists = left.join(right, ["token", "part"]).where("node < b_node")
+    pairs = lists.where(F.col("component") != F.col("b_component"))
+    # What the two must share, can share beside their own tokens, and can share from the first
+    # common token on: a pair that links passes in the list of that token.
+    need = F.expr(f"((n + b_n) * {params.percent} + {99 + params.percent}) div {100 + params.percent}")
+    can = F.least(F.col("n") - F.col("own"), F.col("b_n") - F.col("b_own"))
+    a_most, b_most = F.col("n") - need + 1, F.col("b_n") - need + 1
+    pairs = pairs.where((can >= need) & (F.col("at") < a_most) & (F.col("b_at") < b_most))
+    return pairs.select(
+        F.col("node").alias("a"), F.col("b_node").alias("b"), F.col("component").alias("ca"), F.col("b_component").alias("cb"),
+        a_most.cast("int").alias("a_most"), b_most.cast("int").alias("b_most"),
+    ).distinct()
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_mark(text_col).alias("mark"), F.col(text_col).alias("text"))
+
+
 def jaccard_classes(
     docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -162,9 +262,9 @@ def jaccard_classes(
        meets in the first and overlaps in the second and third, and is then verified exactly.
     4. Links only have to connect, so members of a prefix list are first paired with one hub of
        the list, the set with most frequent tokens, then another. A family of near copies, all
-       in the same lists, is connected by that at a cost linear in its size. After
-       ``HUB_ROUNDS`` rounds every pair of a list that is still in different components is
-       tried, so no link between components is lost.
+       in the same lists, is connected by that at a cost linear in its size. Lists within one
+       component are done. After ``HUB_ROUNDS`` rounds every pair of a list that is still in
+       different components is tried, so no link between components is lost.
 
     Words are what stands between spaces and the controls from tab to carriage return. A text
     with fewer words than ``width`` is one token; null texts and texts without words have none,
@@ -172,83 +272,24 @@ def jaccard_classes(
     nulls count last. Tokens are 64-bit hashes, set digests 128-bit. Rows may repeat; an empty
     table gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = stage(_sets(rows, params, whole=False).withColumn("row", F.monotonically_increasing_id()), "join-sets")
-    filled = first.where("n > 0")
-    classes = filled.groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
-    classes = stage(classes, "join-classes")
-
-    copies = filled.select("row", "key").join(classes.select("key", "node"), "key").where("row <> node").select("row")
-    copies = stage(copies, "join-copies")
-    nodes = filled.join(small(copies, copies.count()), "row", "left_anti")
-    spread = nodes.select(F.col("row").alias("node"), F.explode("tokens").alias("token"))
-    lone = spread.groupBy("token").agg(F.count("*").alias("count"), F.min("node").alias("node")).where("count = 1")
-    lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
-    fewest = F.expr(f"(({params.percent} * n + 99) div 100) div 25 + 1")
-    told = nodes.select(F.col("row").alias("node"), "n", "key", F.size("tokens").alias("told")).join(lone, "node", "left")
-    alive = told.where(F.col("told") - F.coalesce("lone", F.lit(0)) >= fewest)
-    alive = stage(alive.select("node", "n", "key").join(classes.select("node", "least"), "node"), "join-alive")
-
-    ids = alive.select(F.col("least").alias("again")).distinct()
-    again = rows.join(small(ids, ids.count()), F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
-    whole = _sets(again, params, whole=True).select("key", "tokens")
-    wanted = alive.select("node", "key")
-    sets = stage(whole.join(small(wanted, alive.count()), "key").select("node", "tokens"), "join-whole")
-    if sets.count() > alive.count():  # rows with equal id and text
-        sets = stage(sets.dropDuplicates(["node"]), "join-whole")
-    for part in (4, 1, 1):  # a quarter of the tokens tells most sets without a partner
-        met, frequent = _met(sets, params, part)
-        met = stage(met, "join-met")
-        sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
-    prefixes = stage(_prefixes(sets.join(met, "node"), frequent, params).join(met.select("node", "own"), "node"), "join-prefixes")
-    lists = prefixes.select("node", "n", "own", "common", F.posexplode("p1").alias("at", "token"))
-    lists = stage(lists.join(lists.groupBy("token").count().where("count > 1").select("token"), "token", "left_semi"), "join-lists")
-
-    links = None
-    places = alive.select("node", F.col("node").alias("component"))
-    for turn in range(HUB_ROUNDS + 1):
-        held = lists.join(places, "node")
-        split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        if turn < HUB_ROUNDS:
-            rank = -F.col("common") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
-            hub = F.min(F.struct(rank, F.col("node"), F.col("component"), F.col("n"), F.col("own"), F.col("at"))).alias("hub")
-            hubs = held.groupBy("token").agg(hub, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            left, right = held, hubs.select("token", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("node", "component", "n", "own", "at")])
-        else:
-            left = held.join(split.select("token"), "token", "left_semi")
-            right = left.select("token", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "n", "own", "at")])
-        pairs = left.join(right, "token").where(F.col("component") != F.col("b_component"))
-        if turn == HUB_ROUNDS:
-            pairs = pairs.where("node < b_node")
-        # What the two must share, can share beside their own tokens, and can share from the first
-        # common token on: a pair that links passes in the list of that token.
-        need = F.expr(f"((n + b_n) * {params.percent} + {99 + params.percent}) div {100 + params.percent}")
-        can = F.least(F.col("n") - F.col("own"), F.col("b_n") - F.col("b_own"))
-        a_most, b_most = F.col("n") - need + 1, F.col("b_n") - need + 1
-        pairs = pairs.where((can >= need) & (F.col("at") < a_most) & (F.col("b_at") < b_most))
-        pairs = pairs.select(
-            F.col("node").alias("a"), F.col("b_node").alias("b"), a_most.cast("int").alias("a_most"), b_most.cast("int").alias("b_most")
-        ).distinct()
-        found = stage(_verified(pairs, prefixes, sets, params), "join-links")
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            continue
-        joined = connected_components(links, name="join-components")
-        places = alive.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        places = stage(places, "join-places")
-
-    grouped = places.join(alive.select("node", "least"), "node")
-    smallest = grouped.groupBy("component").agg(F.min("least").alias("smallest"))
-    reached = grouped.join(smallest, "component").select("node", "smallest")
-    named = classes.join(reached, "node", "left").select("key", F.coalesce("smallest", "least").alias("component_id"))
-    members = filled.select("doc_id", "n", "key").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    bare = first.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return members.unionByName(bare)
+    members = stage(_members(_rows(docs, id_col, text_col), params), "join-members")
+    smallest = members.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    linked = members.join(smallest, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    bare = members.where("class is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(bare)
 
 
 def drop_similar(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
-    """``docs`` with one row of each class of similar texts: the one with the smallest id."""
-    found = jaccard_classes(docs, params)
-    gone: Column = F.col("doc_id") != F.col("component_id")
-    gone_ids = stage(found.where(gone).select(F.col("doc_id").alias("gone_id")).distinct(), "similar-gone")
-    return docs.join(small(gone_ids, gone_ids.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """``docs`` with one row of each class of similar texts: the one with the smallest id, a null one last.
+
+    Rows are told apart by id and text, so ids may be null or repeat; of rows equal in both one
+    stays. Rows without words are in no class and stay.
+    """
+    members = stage(_members(_rows(docs, "doc_id", "text"), params).where("class is not null"), "similar-members")
+    best = members.groupBy("class").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("best"), F.count("*").alias("size")
+    )
+    texts = members.join(best.where("size > 1"), "class").groupBy("doc_id", "mark", "best").agg(F.count("*").alias("rows"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("mark") == F.col("best.mark"))
+    gone = texts.where(~stays | (F.col("rows") > 1)).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_gone"), stays.alias("_one"))
+    return drop_rows(docs, stage(gone, "similar-gone"))
