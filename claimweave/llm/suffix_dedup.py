@@ -324,10 +324,17 @@ def _shard_spans(found: DataFrame, p: SuffixParams) -> DataFrame:
         code, texts, rows = told.indices.to_numpy(), told.dictionary.to_pylist(), _rows(table)
         places = np.full(len(texts), LAST_ID)
         np.minimum.at(places, code, rows["place"])
-        owner, at, group, least = earliest(texts, places, p.span)
-        leasts = least[group[np.lexsort((at, owner))]]
         size = np.array([len(t) - p.span + 1 for t in texts])
         begin = np.cumsum(size) - size
+        leasts = np.repeat(places, size)
+        # An anchor with one passage, however often, has nothing to compare it with.
+        anchor = np.zeros(len(texts), np.int64)
+        anchor[code] = table.column("hash").to_numpy()
+        _, which, many = np.unique(anchor, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(many[which] > 1)
+        if len(several):
+            owner, at, group, least = earliest([texts[i] for i in several], places[several], p.span)
+            leasts[begin[several[owner]] + at] = least[group]
         each = size[code]
         offset = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         return pa.table(_removed(rows, each, leasts[np.repeat(begin[code], each) + offset], p.span))
@@ -380,7 +387,8 @@ def _common_spans(found: DataFrame, p: SuffixParams) -> DataFrame:
 
 def _repeats(texts: DataFrame, p: SuffixParams) -> DataFrame:
     """``(mark, place, spans)`` of the texts with strings that stand in a smaller place."""
-    anchors = _anchors(texts, p)
+    # Dealt once; both the counting and the join read this one exchange.
+    anchors = _anchors(texts, p).repartition("hash")
     shared = anchors.groupBy("hash").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi"), F.count("*").alias("n"))
     shared = shared.where("lo < hi").select("hash", (F.col("n") > p.common).alias("common"))
     hits = anchors.join(shared.hint("shuffle_hash"), "hash").groupBy("mark").agg(
