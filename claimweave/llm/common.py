@@ -86,8 +86,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
     edges = stage(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), name
     )
-    state = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -96,15 +95,18 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", name: str
         hung = large.join(least, "u")
         smaller = hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(smaller.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
-        # Done when a round changes nothing and every node hangs on one other.
-        now = edges.agg(F.count("*"), F.countDistinct("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now[0] == 0 or (now == state and now[0] == now[1]):
-            break
-        state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return stage(
-        edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct(), name
-    )
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on at most one other, on which nothing else but such nodes hang.
+
+    Rounds keep what is connected, so these stars are the components.
+    """
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("least"))
+    return nodes.where("hangs > 1 or (hangs = 1 and least = 0)").isEmpty()
 
 
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ from claimweave.llm.common import (
 # Any order is right: these two only shorten the lists that prefixes meet in.
 FREQUENT = 64
 FREQUENT_TOKENS = 200_000
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 
 
 @dataclass(frozen=True)
@@ -174,7 +174,7 @@ def _members(rows: DataFrame, params: JoinParams) -> DataFrame:
     sets = stage(_sets(found, params, whole=True).select(F.col("mark").alias("node"), "tokens"), "join-whole")
     if sets.count() > alive.count():  # rows with equal id and text
         sets = stage(sets.dropDuplicates(["node"]), "join-whole")
-    for part in (4, 1, 1):  # a quarter of the tokens tells most sets without a partner
+    for part in (4, 1):  # a quarter of the tokens tells most sets without a partner
         met, frequent = _met(sets, params, part)
         met = stage(met, "join-met")
         sets = sets.join(small(met.select("node"), met.count()), "node", "left_semi")
@@ -257,13 +257,14 @@ def jaccard_classes(
     2. A set shares most of its tokens with any partner, so among its first tokens (in order of
        hash) a known number must occur in another set's. Sets that fall short have no link.
     3. The texts of the rest are read again for their whole sets. Sets with too many tokens that
-       no other has are out, first by a quarter of the tokens, then by all, twice, as that leaves fewer sets. Each of the rest gets its prefix under
-       three global orders, in which frequent tokens come last; a pair is a candidate if it
-       meets in the first and overlaps in the second and third, and is then verified exactly.
+       no other has are out, first by a quarter of the tokens, then by all. Each of the rest gets
+       its prefix under three global orders, in which frequent tokens come last; a pair
+       is a candidate if it meets in the first and overlaps in the second and third, and is then
+       verified exactly.
     4. Links only have to connect, so members of a prefix list are first paired with one hub of
-       the list, the set with most frequent tokens, then another. A family of near copies, all
-       in the same lists, is connected by that at a cost linear in its size. Lists within one
-       component are done. After ``HUB_ROUNDS`` rounds every pair of a list that is still in
+       the list, the set with most frequent tokens (``HUB_ROUNDS`` times, with another hub each). A
+       family of near copies, all in the same lists, is connected by that at a cost linear in its
+       size. Lists within one component are done; of all others every pair that is still in
        different components is tried, so no link between components is lost.
 
     Words are what stands between spaces and the controls from tab to carriage return. A text
