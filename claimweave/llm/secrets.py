@@ -18,9 +18,15 @@ from claimweave.llm.common import stage, text_or_empty
 # A mark, put in front of assigned values, keeps them together where a text is split into words.
 MARK = "\uFDD0"
 VALUE = r"[^\x20\x09-\x0D\"'`<>\uFDD0]{5,}[^\x20\x09-\x0D\"'`<>\uFDD0.,;:)\]}]"
-PREFIXED = r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{12,}|[sr]k_[A-Za-z0-9_]{12,}|xox[a-z]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{12,})"
-RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
-LOOSE = rf"{PREFIXED}|(?=[a-z+/_\-]*[A-Z0-9]){RUN}"
+# How keys of common services begin, and what follows.
+KEYS = {
+    "(?:AKIA|ASIA)": "[A-Z0-9]{12,}", "gh[pousr]_": "[A-Za-z0-9]{12,}", "[sr]k_": "[A-Za-z0-9_]{12,}",
+    "xox[a-z]-": r"[A-Za-z0-9\-]{10,}", "AIza": r"[A-Za-z0-9_\-]{12,}",
+}
+PREFIXED = "(?<![A-Za-z0-9])(?:" + "|".join(a + b for a, b in KEYS.items()) + ")"
+# A run is looked at once, from its first character on, whatever its length.
+RUN = r"(?<![A-Za-z0-9+/_\-])(?=[a-z+/_\-]*+[A-Z0-9])[A-Za-z0-9+/_\-]{16,}+={0,2}"
+LOOSE = rf"{PREFIXED}|{RUN}"
 CANDIDATE = rf"{MARK}{VALUE}|{LOOSE}"
 SEPARATOR = r"[\x20\x09-\x0D]"
 CONTEXT_WORDS = 3
@@ -29,7 +35,7 @@ CONTEXT_WORDS = 3
 # strings. Fixed lists.
 SECRET_WORDS = "token password passwd pwd secret apikey api_key access_key key auth bearer credential private".split()
 PLAIN_WORDS = "commit sha sha1 sha256 sha512 md5 checksum digest hash etag integrity uuid guid revision rev blob build version id file path image data example sample test order invoice".split()
-ASSIGNED = r"(?i)((?:" + "|".join(SECRET_WORDS) + r")[\"'`]?[\x20\x09-\x0D]{0,8}(?::=|=>|[=:])[\x20\x09-\x0D]{0,8}[\"'`]?)(?=" + VALUE + ")"
+ASSIGNED = r"(?i)((?:" + "|".join(SECRET_WORDS) + r")[\"'`]?[\x20\x09-\x0D]{0,8}(?::=|=>|[=:])[\x20\x09-\x0D]{0,8}[\"'`]?)(?=" + VALUE.replace("{5,}", "{5,}?") + ")"
 DICTIONARY = (
     "the and for with this that from have not are was were will tion ing ment able over under user name file path test "
     "data info code main home page index value order model class table image example sample version config service"
@@ -138,7 +144,7 @@ def features(found: DataFrame) -> DataFrame:
         "assigned": F.col("left").rlike(r"[=:]\s*[\"']?\s*$").cast("double"),
         "path_near": F.col("left").rlike(r"[./\\]$").cast("double"),
         "repeats": share(r"(.)\1+"),
-        "prefix_key": value.rlike(r"^(AKIA|ghp_|sk_|xox|AIza)").cast("double"),
+        "prefix_key": value.rlike("^(" + "|".join(KEYS) + ")").cast("double"),
     }
     return found.withColumns({k: c.cast("double") for k, c in out.items()})
 

@@ -1,4 +1,9 @@
-"""Secrets of letters only, short ones and those with other signs."""
+"""Secrets of letters only, short ones, those with other signs, held-out ones, and very long runs."""
+
+import random
+import string
+import time
+import uuid
 
 from claimweave.llm import secrets
 
@@ -26,3 +31,45 @@ def test_secrets_beyond_long_runs_with_digits(spark):
     assert all(texts[r.doc_id][r.start : r.end] == r.value for r in got)
     kept = {(r.doc_id, r.value) for r in got if r.secret}
     assert {(k, v[1]) for k, v in SECRETS.items()} | {(4, "Hunter2x")} == kept
+
+
+def held_out():
+    """``(text, secret or None, decoy or None)`` from other words, shapes and sentences than the training table."""
+    rng = random.Random(11)
+    draw = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    upper, mixed = string.ascii_uppercase + string.digits, string.ascii_letters + string.digits
+    rows = []
+    for i in range(40):
+        rows += [
+            (f"export AWS_ID {(k := 'ASIA' + draw(upper, 16))} before deploying", k, None),
+            (f"set github token: {(k := 'gho_' + draw(mixed, 36))}, please", k, None),
+            (f"slack bot {(k := 'xoxb-' + draw(string.digits, 11) + '-' + draw(mixed, 24))} joined", k, None),
+            (f"client_secret = '{(k := draw(mixed, 32))}' in settings", k, None),
+            (f"db password={(k := draw(mixed, 9) + rng.choice('!#%') + draw(mixed, 4))} ok", k, None),
+            (f"request {(k := str(uuid.UUID(int=rng.getrandbits(128))))} took 3 ms", None, k),
+            (f"merged {(k := draw('0123456789abcdef', 40))} into main", None, k),
+            (f"sha256 {(k := draw('0123456789abcdef', 64))} of the archive", None, k),
+            (f"see {(k := 'docs/Guide' + str(i) + '/getting-started/Install')} for more", None, k),
+            (f"called {(k := 'createUserAccountService' + str(i))} twice", None, k),
+        ]
+    return rows
+
+
+def test_precision_and_recall_on_held_out_findings(spark):
+    rows = held_out()
+    docs = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id long, text string")
+    found = secrets.find_secrets(docs).where("secret").collect()
+    kept = {(r.doc_id, r.value) for r in found}
+    hits = sum(any(d == i and v in (r[1], r[1] + ",") for d, v in kept) for i, r in enumerate(rows) if r[1])
+    assert hits / sum(bool(r[1]) for r in rows) >= 0.85
+    assert hits / len(kept) >= 0.85
+
+
+def test_a_long_run_is_read_once(spark):
+    secrets.find_secrets(spark.createDataFrame([(0, "warm up")], "doc_id long, text string")).collect()
+    model = secrets.fit_secrets(secrets.labelled_findings(spark))
+    for text in ("a" * 1_000_000, "-" * 1_000_000, "key=" * 250_000):
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        secrets.find_secrets(docs, model).collect()
+        assert time.time() - start < 12
