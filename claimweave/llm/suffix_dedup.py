@@ -31,17 +31,23 @@ class SuffixParams:
 # --- anchors ---------------------------------------------------------------------------------
 
 
+_BYTES = mix64(np.arange(256, dtype=np.uint64), 7)
+
+
 def _gram_hashes(b: np.ndarray, width: int) -> np.ndarray:
     """One hash for every run of ``width`` bytes, put together from runs of powers of two."""
-    power, size, out, done = mix64(b.astype(np.uint64), 7), 1, None, 0
+    power, size, out, done = _BYTES[b], 1, None, 0
     while True:
         if width & size:
-            out = power if out is None else out[: len(b) - done - size + 1] * np.uint64(0xD6E8FEB86659FD93) + power[done:]
+            out = power.copy() if out is None else out[: len(b) - done - size + 1] * np.uint64(0xD6E8FEB86659FD93) + power[done:]
             done += size
         if done == width:
-            return mix64(out, width)
-        power = power[: len(power) - size] * np.uint64(0xA0761D6478BD642F) + power[size:]
-        size *= 2
+            out ^= out >> np.uint64(32)
+            out *= np.uint64(0x9E3779B97F4A7C15)
+            return out
+        longer = power[: len(power) - size] * np.uint64(0xA0761D6478BD642F)
+        longer += power[size:]
+        power, size = longer, 2 * size
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -64,20 +70,25 @@ def anchored(pieces: list[bytes], p: SuffixParams) -> tuple[np.ndarray, np.ndarr
     if len(b) < p.span:
         return none, none, none, none.view(np.uint64)
     size = np.array([len(x) for x in pieces])
+    ends = np.cumsum(size)
     hashes = _gram_hashes(b, p.gram)
     # The place in the low bits makes the least value also the leftmost.
     low = np.uint64((1 << 24) - 1)
-    value = (hashes & ~low) | (np.arange(len(hashes), dtype=np.uint64) & low)
-    chosen = (_sliding_min(value, p.span - p.gram + 1) & low).astype(np.int64)
-    owner = np.repeat(np.arange(len(pieces)), size)
-    whole = np.flatnonzero(owner[: len(chosen)] == owner[p.span - 1 :])
-    if not len(whole):
-        return none, none, none, none.view(np.uint64)
-    own, at = owner[whole], chosen[whole]
-    start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (own[1:] != own[:-1])])
-    end = np.r_[start[1:], len(whole)] - 1
-    base = (np.cumsum(size) - size)[own[start]]
-    return own[start], whole[start] - base, whole[end] - base, hashes[at[start]]
+    value = hashes & ~low
+    value |= np.arange(len(hashes), dtype=np.uint64)
+    chosen = _sliding_min(value, p.span - p.gram + 1)
+    chosen &= low
+    # Strings that run over the end of a piece are none.
+    whole = np.ones(len(chosen) + 1, bool)
+    for end in ends.tolist():
+        whole[max(0, end - p.span + 1) : end] = False
+    whole[-1] = False
+    turn = np.r_[True, chosen[1:] != chosen[:-1], True]
+    start = np.flatnonzero(whole[:-1] & (turn[:-1] | ~np.r_[False, whole[:-2]]))
+    last = np.flatnonzero(whole[:-1] & (turn[1:] | ~whole[1:]))
+    own = np.searchsorted(ends, start, side="right")
+    base = (ends - size)[own]
+    return own, start - base, last - base, hashes[chosen[start].astype(np.int64)]
 
 
 def _pieces(texts: list[bytes], p: SuffixParams) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
