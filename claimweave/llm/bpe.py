@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # White space as the tokenizer file's pattern syntax defines it (not Python's wider class).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 MEMO_WORDS = 250_000
-BATCH_ROWS = 500
+BATCH_ROWS, BATCH_BYTES = 500, 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -111,42 +111,52 @@ def load(path: str) -> WordBpe:
         return WordBpe(json.load(f))
 
 
-def tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+def tokens(
+    docs: DataFrame,
+    vocabulary: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = True,
+    with_decoded: bool | None = None,
+) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded, ids_sha256, decoded_sha256)``, one row per row of ``docs``.
 
     ``vocabulary`` is the path of the tokenizer file, readable on every executor (it comes with
-    the Python installation, not with the data). ``ids`` and ``decoded`` are left out unless
-    ``with_ids``. Words are merged once per distinct word and worker while the memo of
+    the Python installation, not with the data). ``ids`` are left out unless ``with_ids``,
+    ``decoded`` unless ``with_decoded`` (as ``with_ids`` where not given). Words are merged once per distinct word and worker while the memo of
     ``MEMO_WORDS`` lasts. There is no shuffle: each Arrow batch of a scan is encoded where it
-    is read, ``BATCH_ROWS`` texts at a time at most.
+    is read, and handed on ``BATCH_ROWS`` texts or some ``BATCH_BYTES`` of ids at a time.
 
     Null and empty texts have no tokens. Rows may repeat; an empty table gives an empty
     result; other columns are ignored.
     """
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64())]
-    fields += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())] * with_ids
+    with_decoded = with_ids if with_decoded is None else with_decoded
+    fields += [("ids", pa.list_(pa.int32()))] * with_ids + [("decoded", pa.string())] * with_decoded
     fields += [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     schema = pa.schema(fields)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(vocabulary)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                packed, texts, decoded_digests = [], [], []
-                for text in batch.column("text"):
-                    packed.append(model.encode(text.as_py() or ""))
-                    decoded = model.decode(packed[-1])
-                    decoded_digests.append(hashlib.sha256(decoded.encode()).hexdigest())
-                    if with_ids:
-                        texts.append(decoded)
-                columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64())}
-                if with_ids:
-                    columns["ids"] = pa.array([np.frombuffer(p, "<i4") for p in packed], pa.list_(pa.int32()))
-                    columns["decoded"] = pa.array(texts, pa.string())
-                columns["ids_sha256"] = pa.array([hashlib.sha256(p).hexdigest() for p in packed])
-                columns["decoded_sha256"] = pa.array(decoded_digests)
-                yield pa.RecordBatch.from_pydict(columns, schema=schema)
+        for batch in batches:
+            rows, held = [], 0
+            for number, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                packed = model.encode(text.as_py() or "")
+                decoded = model.decode(packed)
+                row = {"doc_id": number.as_py(), "n_tokens": len(packed) // 4, "ids": np.frombuffer(packed, "<i4"), "decoded": decoded}
+                row["ids_sha256"] = hashlib.sha256(packed).hexdigest()
+                row["decoded_sha256"] = hashlib.sha256(decoded.encode()).hexdigest()
+                rows.append([row[f.name] for f in schema])
+                held += len(packed)
+                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                    yield packed_rows(rows)
+                    rows, held = [], 0
+            if rows:
+                yield packed_rows(rows)
+
+    def packed_rows(rows: list[list]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     types = {"doc_id": "long", "n_tokens": "long", "ids": "array<int>"}
     declared = ", ".join(f"{f.name} {types.get(f.name, 'string')}" for f in schema)
