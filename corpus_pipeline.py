@@ -39,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of them and of the text they decode to."""
-    tokens = bpe.tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    tokens = bpe.tokens(docs, public_tokenizers.path("word_bpe_49k.json"), with_decoded=False)
     return tokens.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
