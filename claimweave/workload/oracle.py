@@ -640,6 +640,9 @@ def oracle_sql() -> dict[str, str]:
         "cosine_retrieval": sql(
             VECTOR_HITS, "SELECT query_id, doc_id, cosine, rank::INTEGER AS rank FROM hits"
         ),
+        "cosine_retrieval_bucketed": sql(
+            VECTOR_HITS, "SELECT query_id, doc_id, cosine, rank::INTEGER AS rank FROM hits"
+        ),
         "retrieval_coverage": sql(
             VECTOR_HITS,
             "SELECT query_id, round(avg(cosine) + 1e-12, 6) AS avg_cos, round(max(cosine), 6) AS max_cos "

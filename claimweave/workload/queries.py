@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -467,6 +468,17 @@ def cosine_retrieval(spark: SparkSession, sf: str) -> DataFrame:
     return _vector_hits(spark, sf)[2].select("query_id", "doc_id", "cosine", "rank")
 
 
+def cosine_retrieval_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same retrieval from a store in hash buckets, with more claims than fit one block."""
+    store = bd.vector_store(spark, sf)
+    claims = store.select(F.col("doc_id").alias("query_id"), "embedding")
+    table = "claimweave_store_" + uuid.uuid4().hex
+    artifacts.write_bucketed_store(store, table, 8, staging_path(spark, "bucketed-store"))
+    block = max(1, claims.count() // 3)
+    hits = rt.bucketed_top_k(claims, spark.table(table), 8, VECTOR_SEARCH.top_k, claim_block=block)
+    return hits.select("query_id", "doc_id", "cosine", "rank")
+
+
 def retrieval_coverage(spark: SparkSession, sf: str) -> DataFrame:
     coverage = rt.retrieval_coverage(_vector_hits(spark, sf)[2])
     return coverage.select(
@@ -753,6 +765,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hashed_embedding,
         encode_corpus,
         cosine_retrieval,
+        cosine_retrieval_bucketed,
         retrieval_coverage,
         linear_stance_scores,
         stance_counts,

@@ -14,7 +14,7 @@ from claimweave.operators.moments import feature_moments
 from claimweave.plans.encoding import encode_corpus
 from claimweave.plans.search import score_hits
 from claimweave.session import stage
-from claimweave.sources.artifacts import vector_store_integrity
+from claimweave.sources.artifacts import vector_store_integrity, write_bucketed_store
 
 
 def unit_rows(n, dim, seed, copies=0):
@@ -79,6 +79,25 @@ def test_top_k_equals_brute_force(spark, monkeypatch, claim_block, copies):
     assert got == brute_top(claims, store, 7)
 
 
+@pytest.mark.parametrize("claim_block", [100, 4])
+def test_a_bucketed_store_is_read_in_place(spark, claim_block):
+    claims, store = unit_rows(10, 8, 1), unit_rows(360, 8, 2, 120)
+    table = f"bucketed_store_{claim_block}"
+    write_bucketed_store(as_frame(spark, store, "d", "doc_id"), table, 4)
+    try:
+        asked = as_frame(spark, claims, "q", "query_id")
+        hits = rt.bucketed_top_k(asked, spark.table(table), 4, k=7, claim_block=claim_block)
+        assert {(r.query_id, r.doc_id, r["rank"]) for r in hits.collect()} == brute_top(claims, store, 7)
+        met = rt.bucketed_top_k(asked, spark.table(table), 4, k=7)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        # Claims by bucket, and hits by claim; nothing on the side of the store.
+        assert plan.count("Exchange hashpartitioning(bucket") == 1
+        assert plan.count("Exchange hashpartitioning(query_id") == 1
+        assert "SelectedBucketsCount: 4 out of 4" in plan
+    finally:
+        spark.sql(f"drop table if exists {table}")
+
+
 def test_small_store_returns_fewer_hits(spark):
     claims, store = unit_rows(2, 4, 1), unit_rows(3, 4, 2)
     hits = rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id"), k=50)
