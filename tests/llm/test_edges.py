@@ -91,7 +91,9 @@ def test_ngram_join(docs, none):
     sizes = {r.doc_id: r.n_shingles for r in got}
     assert [sizes[i] for i in (1, 2, 3, 12, 5)] == [0, 0, 0, 1, 7]
     kept = ngram_join.drop_similar(docs)
-    assert kept.columns == docs.columns and ids(kept) == [i for i in ALL_IDS if i not in (6, 9)]
+    stay = [i for i in ALL_IDS if i not in (6, 9)]
+    stay.remove(7)  # of rows with equal id and text one stays
+    assert kept.columns == docs.columns and ids(kept) == stay
     assert ngram_join.jaccard_classes(none).count() == 0
 
 
