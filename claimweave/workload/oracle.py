@@ -643,6 +643,11 @@ def oracle_sql() -> dict[str, str]:
         "cosine_retrieval_bucketed": sql(
             VECTOR_HITS, "SELECT query_id, doc_id, cosine, rank::INTEGER AS rank FROM hits"
         ),
+        "approximate_recall": sql(
+            VECTOR_HITS,
+            "SELECT count(DISTINCT query_id) AS n_claims, count(*) AS n_hits, true AS true_cosines, "
+            "true AS recall_reached FROM hits WHERE query_id::BIGINT % 100 = 0",
+        ),
         "retrieval_coverage": sql(
             VECTOR_HITS,
             "SELECT query_id, round(avg(cosine) + 1e-12, 6) AS avg_cos, round(max(cosine), 6) AS max_cos "

@@ -24,6 +24,7 @@ from claimweave.operators import metrics as mx
 from claimweave.operators import models as md
 from claimweave.operators import negatives as ng
 from claimweave.operators import positions as pos
+from claimweave.operators import projections as pj
 from claimweave.operators import retrieval as rt
 from claimweave.operators import tfidf
 from claimweave.operators.encode import HashedTermEncoder, encode_claims, fit_hashed_encoder
@@ -479,6 +480,35 @@ def cosine_retrieval_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("query_id", "doc_id", "cosine", "rank")
 
 
+def _approximate_hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Approximate and exact hits of every vector whose id is divisible by 100, against all."""
+    store = bd.vector_store(spark, sf)
+    claims = store.where(F.col("doc_id").cast("long") % 100 == 0).select(F.col("doc_id").alias("query_id"), "embedding")
+    params = pj.ProjectionParams()
+    index = stage(pj.with_buckets(store, "doc_id", params), "projection-index")
+    hits = stage(pj.approximate_top_k(claims, index, VECTOR_SEARCH.top_k, params=params), "approximate-hits")
+    return hits, stage(rt.cosine_top_k(claims, store, VECTOR_SEARCH.top_k), "exact-hits")
+
+
+def cosine_retrieval_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits from buckets of random projections, with each claim's recall of the exact ones."""
+    hits, exact = _approximate_hits(spark, sf)
+    return hits.join(pj.retrieval_recall(hits, exact), "query_id").select("query_id", "doc_id", "cosine", "rank", "recall")
+
+
+def approximate_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """What has to hold of approximate hits: as many as exact ones, true cosines, a recall of 0.9."""
+    hits, exact = _approximate_hits(spark, sf)
+    pairs = hits.join(exact.select("query_id", "doc_id", F.col("cosine").alias("true_cosine")), ["query_id", "doc_id"], "left")
+    checked = pairs.agg(
+        F.countDistinct("query_id").alias("n_claims"),
+        F.count("*").alias("n_hits"),
+        F.coalesce(F.bool_and(F.abs(F.col("cosine") - F.coalesce("true_cosine", "cosine")) < 2e-6), F.lit(True)).alias("true_cosines"),
+    )
+    reached = pj.retrieval_recall(hits, exact).agg((F.avg("recall") >= 0.9).alias("recall_reached"))
+    return checked.join(reached)
+
+
 def retrieval_coverage(spark: SparkSession, sf: str) -> DataFrame:
     coverage = rt.retrieval_coverage(_vector_hits(spark, sf)[2])
     return coverage.select(
@@ -766,6 +796,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         encode_corpus,
         cosine_retrieval,
         cosine_retrieval_bucketed,
+        cosine_retrieval_approximate,
+        approximate_recall,
         retrieval_coverage,
         linear_stance_scores,
         stance_counts,
