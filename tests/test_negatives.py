@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -197,6 +198,72 @@ def test_best_documents_are_those_of_plain_scoring(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_many_claims_meet_documents_in_cells_of_bounded_size(spark, monkeypatch):
+    """Blocks and chunks of a few rows, copies and uneven depths: the same rows as plain scoring, no claim on the driver."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    weights = [1 / (i + 1) for i in range(60)]
+    texts = [" ".join(rng.choices(words, weights, k=rng.randrange(0, 30))) for _ in range(300)] + ["w0 w1 w7 w9"] * 80
+    corpus = spark.createDataFrame([(f"d{i:04}", t, t[:9]) for i, t in enumerate(texts)], "doc_id string, title string, abstract string")
+    claims = spark.createDataFrame([(f"q{i}", " ".join(rng.choices(words, k=6))) for i in range(50)], "query_id string, claim string")
+    doc_terms = stage(tfidf.document_terms(corpus), "t")
+    vocabulary = tfidf.build_vocabulary(doc_terms, corpus.count())
+    vectors = stage(tfidf.claim_vectors(claims, vocabulary), "v")
+    plain = stage(tfidf.similarity(doc_terms, vocabulary, vectors), "plain")
+    depth = claims.select("query_id", F.when(F.col("query_id") == "q7", 200).otherwise(3).alias("depth"))
+    joined = tfidf.top_similar(plain, 200).join(depth, "query_id").where("rank <= depth")
+    want = rows(joined, "field_variant", "query_id", "doc_id", "score")
+    monkeypatch.setattr(tfidf, "BLOCK_ROWS", 0)
+    monkeypatch.setattr(tfidf, "_scan_block", None)
+    for small in (7, 2048):
+        monkeypatch.setattr(tfidf.sparse_topk, "CLAIM_BLOCK", 3 * small)
+        monkeypatch.setattr(tfidf.sparse_topk, "DOCUMENT_BLOCK", 20 * small)
+        got = tfidf.top_documents(doc_terms, vocabulary, vectors, depth)
+        assert rows(got, "field_variant", "query_id", "doc_id", "score") == want
+
+
+@pytest.mark.parametrize("chunk", [3, 64, 2048])
+def test_a_cell_keeps_the_best_of_plain_scoring(monkeypatch, chunk):
+    """Chunks, pieces and shallow cuts of any size, uneven depths, copies and tied scores."""
+    monkeypatch.setattr(tfidf.sparse_topk, "CHUNK", chunk)
+    monkeypatch.setattr(tfidf.sparse_topk, "PRODUCTS", 10 * chunk)
+    monkeypatch.setattr(tfidf.sparse_topk, "SHALLOW", chunk)
+    rng = np.random.default_rng(chunk)
+    documents = np.where(rng.random((400, 30)) < 0.15, rng.integers(1, 4, (400, 30)), 0.0) * np.linspace(1, 4, 30)
+    documents[100:250] = documents[100]
+    documents /= np.maximum(np.linalg.norm(documents, axis=1, keepdims=True), 1e-9)
+    claims = np.where(rng.random((40, 30)) < 0.3, rng.random((40, 30)), 0.0)
+    depth = np.where(np.arange(40) % 9 == 0, 170, rng.integers(1, 6, 40))
+
+    def sparse(rows):
+        row, term = np.nonzero(rows)
+        return np.bincount(row, minlength=len(rows)), term.astype(np.int32), rows[row, term]
+
+    top = tfidf.sparse_topk.CellTopK(*sparse(claims), depth, 6)
+    for at in range(0, 400, 90):
+        top.add(*sparse(documents[at : at + 90]))
+    claim, document, score = top.best()
+    scores = np.round(claims @ documents.T, 6)
+    for c in range(40):
+        want = [d for d in np.lexsort((np.arange(400), -scores[c])) if scores[c, d] > 0][: depth[c]]
+        assert document[claim == c].tolist() == want
+        assert np.allclose(score[claim == c], scores[c, want], atol=1e-9)
+
+
+def test_a_full_claim_keeps_the_first_of_equal_documents():
+    """Copies that come later never wait to be sorted, and a term that cannot help is looked up for candidates alone."""
+    top = tfidf.sparse_topk.CellTopK(np.array([2]), np.array([0, 1]), np.array([0.9, 0.1]), np.array([2]), 6)
+    copies = (np.full(3000, 1), np.zeros(3000, np.int32), np.ones(3000))
+    top.add(*copies)
+    top.best()
+    before = top.waiting
+    top.add(*copies)
+    assert top.waiting == before == 0
+    top.add(np.array([2, 1]), np.array([0, 1, 1], np.int32), np.array([1.0, 0.5, 1.0]))
+    claim, document, score = top.best()
+    assert document.tolist() == [6000, 0] and score.tolist() == [0.95, 0.9]
+
+
 def test_postings_are_not_exchanged_on_the_way_to_the_claims(spark, sf_dir):
     corpus, claims, _ = bd.passages(spark, sf_dir)
     doc_terms = stage(tfidf.document_terms(corpus), "t")
