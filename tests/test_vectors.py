@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -98,6 +100,33 @@ def test_a_bucketed_store_is_read_in_place(spark, claim_block):
         spark.sql(f"drop table if exists {table}")
 
 
+def test_a_cell_holds_little_beside_its_rows():
+    """Scores, kept hits and widened vectors are bounded, whatever the sizes of the two groups."""
+    claims, store = unit_rows(5000, 8, 1), unit_rows(20_000, 8, 2)
+    tables = [
+        pa.table({key: [f"{i:05}" for i in range(len(rows))], "embedding": pa.array(rows.astype(np.float32).tolist(), pa.list_(pa.float32()))})
+        for key, rows in (("query_id", claims), ("doc_id", store))
+    ]
+    tracemalloc.start()
+    hits = rt._cell(20, 6)(*tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits.num_rows == 5000 * 20
+    assert peak < 64 << 20
+
+
+def test_blocks_of_a_bucketed_store_have_a_bound_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(rt, "CLAIM_BLOCK", 4)
+    claims, store = unit_rows(10, 8, 1), unit_rows(60, 8, 2)
+    write_bucketed_store(as_frame(spark, store, "d", "doc_id"), "bounded_store", 2)
+    try:
+        hits = rt.bucketed_top_k(as_frame(spark, claims, "q", "query_id"), spark.table("bounded_store"), 2, k=7, claim_block=1000)
+        assert {(r.query_id, r.doc_id, r["rank"]) for r in hits.collect()} == brute_top(claims, store, 7)
+        assert hits._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") == 3
+    finally:
+        spark.sql("drop table if exists bounded_store")
+
+
 def test_small_store_returns_fewer_hits(spark):
     claims, store = unit_rows(2, 4, 1), unit_rows(3, 4, 2)
     hits = rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id"), k=50)
