@@ -127,6 +127,17 @@ def test_blocks_of_a_bucketed_store_have_a_bound_of_their_own(spark, monkeypatch
         spark.sql("drop table if exists bounded_store")
 
 
+def test_few_texts_of_a_batch_are_strings_at_once():
+    texts = pa.array(["word " * 600] * 4000 + [None])
+    vectors = en._by_batches(en._unit(en.HashedTermEncoder(dim=8).make_predict_fn), 32)
+    tracemalloc.start()
+    sizes = [len(part) for part in vectors(iter([texts, texts.slice(0, 40)]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 4041 and max(sizes) == 32
+    assert peak < 4 << 20
+
+
 def test_small_store_returns_fewer_hits(spark):
     claims, store = unit_rows(2, 4, 1), unit_rows(3, 4, 2)
     hits = rt.cosine_top_k(as_frame(spark, claims, "q", "query_id"), as_frame(spark, store, "d", "doc_id"), k=50)
