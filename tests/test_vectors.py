@@ -1,4 +1,5 @@
 import random
+import re
 import tracemalloc
 from collections import defaultdict
 
@@ -115,6 +116,36 @@ def test_a_cell_holds_little_beside_its_rows():
     assert peak < 64 << 20
 
 
+def test_vectors_pass_by_the_claims_of_a_cell(spark):
+    """A task never holds a block of the store, and a small store has cells for all cores."""
+    claims, store = unit_rows(2500, 8, 1).astype(np.float32), unit_rows(500, 8, 2).astype(np.float32)
+
+    def batch(side, ids, vectors):
+        n = len(ids)
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * n + 1, 8), pa.int32()), pa.array(vectors.ravel()))
+        columns = {"side": np.full(n, side, np.int32), "id": pa.array(ids), "embedding": flat, "cell": np.zeros(n, np.int64)}
+        return pa.RecordBatch.from_pydict(columns)
+
+    def stream():
+        yield batch(0, [f"q{i:05}" for i in range(len(claims))], claims)
+        for at in range(200):
+            yield batch(1, [f"d{at:03}{i:03}" for i in range(len(store))], store)
+
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    hits = list(rt._scan_cells(20, 6)(stream()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(h.num_rows for h in hits) == 2500 * 20
+    assert peak < 48 << 20 and pa.total_allocated_bytes() - before < 8 << 20
+
+    plan = rt.cosine_top_k(
+        as_frame(spark, unit_rows(10, 4, 1), "q", "query_id"), as_frame(spark, unit_rows(8200, 4, 2), "d", "doc_id"), claim_block=5
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroups" not in plan
+    assert re.search(r"hashpartitioning\(cell#\d+L?, 18\)", plan)  # two blocks of claims, three of vectors
+
+
 def test_blocks_of_a_bucketed_store_have_a_bound_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(rt, "CLAIM_BLOCK", 4)
     claims, store = unit_rows(10, 8, 1), unit_rows(60, 8, 2)
