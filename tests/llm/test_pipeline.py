@@ -1,6 +1,7 @@
 """Every stage against a plain version on its own input."""
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 
 from claimweave.llm import bpe, quality
@@ -86,3 +87,20 @@ def test_tokens_of_what_is_left(steps):
     want = {i: len(own.encode(t)) // 4 for i, t in texts(steps[4]).items()}
     assert {r.doc_id: r.n_tokens for r in steps[5].collect()} == want
     assert all(len(r.ids) == r.n_tokens for r in steps[5].collect())
+
+
+def test_texts_reach_python_in_bounded_batches(spark, tmp_path, monkeypatch):
+    def largest(session, docs, sf_dir):
+        def count(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows])})
+
+        return docs.mapInArrow(count, "n long")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("count rows", largest)])
+    docs = [(i, "word " * 50) for i in range(3500)]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    before = spark.conf.get(corpus_pipeline.ARROW_ROWS)
+    sizes = [r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(sizes) == 3500 and max(sizes) <= corpus_pipeline.TEXTS
+    assert spark.conf.get(corpus_pipeline.ARROW_ROWS) == before
