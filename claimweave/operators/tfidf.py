@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimweave.config import FIELD_VARIANTS
 from claimweave.functions import text as tx
@@ -27,6 +28,9 @@ CLAIM_TERM_ROWS = 2_000_000
 VOCABULARY_ROWS = 1_000_000
 BLOCK_ROWS = 100_000
 
+# Documents whose terms are counted at a time.
+COUNTED_DOCUMENTS = 1000
+
 
 def document_terms(
     corpus: DataFrame,
@@ -35,21 +39,53 @@ def document_terms(
 ) -> DataFrame:
     """``(doc_id, field_variant, terms array<struct<term, tf>>)`` of ``(doc_id, title, abstract)``.
 
-    Title and abstract are tokenised once; the combined variant joins their token arrays,
-    since the ``". "`` between them never belongs to a term.
+    Title and abstract are tokenised once; the combined variant counts the terms of both, since
+    the ``". "`` between them never belongs to a term. Terms come in the order of their bytes.
     """
-    texts = {"_title": tx.clean("title"), "_abstract": tx.clean("abstract")}
+    variants = tuple(variants)
+    if unknown := set(variants) - set(FIELD_VARIANTS):
+        raise KeyError(*unknown)
+    texts = {"title": tx.clean("title"), "abstract": tx.clean("abstract")}
     tokens = tx.tokenize(corpus.select("doc_id", "title", "abstract"), texts, stop_words)
-    per_variant = {
-        "title": F.col("_title"),
-        "abstract": F.col("_abstract"),
-        "title_abstract": F.concat("_title", "_abstract"),
-    }
-    choices = [
-        F.struct(F.lit(v).alias("field_variant"), per_variant[v].alias("tokens")) for v in variants
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, COUNTED_DOCUMENTS):
+                part = whole.slice(at, COUNTED_DOCUMENTS)
+                # The variants of a document side by side, as they share most terms.
+                order = np.arange(len(variants) * part.num_rows).reshape(len(variants), -1).T.ravel()
+                terms = pa.concat_arrays(list(_count_tokens(part, variants))).take(pa.array(order))
+                doc_ids = part.column("doc_id").take(pa.array(np.repeat(np.arange(part.num_rows), len(variants))))
+                names = pa.array(variants * part.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([doc_ids, names, terms], ["doc_id", "field_variant", "terms"])
+
+    counted = T.StructType().add("term", T.StringType()).add("tf", T.IntegerType())
+    declared = T.StructType([tokens.schema["doc_id"]]).add("field_variant", T.StringType())
+    return tokens.mapInArrow(count, declared.add("terms", T.ArrayType(counted)))
+
+
+def _count_tokens(batch: pa.RecordBatch, variants: tuple[str, ...]) -> Iterator[pa.ListArray]:
+    """For each variant the terms and counts of every row of ``(title, abstract)``, lists of tokens."""
+    title, abstract = (batch.column(c).flatten() for c in ("title", "abstract"))
+    words = pa.concat_arrays([title, abstract]).dictionary_encode()
+    order = pc.sort_indices(words.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    names = words.dictionary.take(pa.array(order))
+    rows = np.arange(batch.num_rows + 1)
+    document = [
+        np.repeat(rows[:-1], pc.list_value_length(batch.column(c)).to_numpy()) for c in ("title", "abstract")
     ]
-    rows = tokens.select("doc_id", F.inline(F.array(*choices)))
-    return rows.select("doc_id", "field_variant", tx.count_terms("tokens").alias("terms"))
+    width = max(1, len(names))
+    codes = np.concatenate(document) * width + rank[words.indices.to_numpy()]
+    parts = {"title": codes[: len(title)], "abstract": codes[len(title) :], "title_abstract": codes}
+    for variant in variants:
+        found, tf = np.unique(parts[variant], return_counts=True)
+        terms = pa.StructArray.from_arrays(
+            [names.take(pa.array(found % width)), pa.array(tf, pa.int32())], ["term", "tf"]
+        )
+        ends = np.searchsorted(found, rows * width).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(ends), terms)
 
 
 def postings(doc_terms: DataFrame) -> DataFrame:
@@ -58,11 +94,39 @@ def postings(doc_terms: DataFrame) -> DataFrame:
 
 
 def term_statistics(doc_terms: DataFrame, min_df: int = 2) -> DataFrame:
-    """Document frequency ``df`` and corpus frequency ``ctf`` of the terms kept by ``min_df``."""
+    """Document frequency ``df`` and corpus frequency ``ctf`` of the terms kept by ``min_df``.
+
+    Each batch of documents is counted before its terms become rows, so what is grouped is some
+    ten times fewer rows than there are postings.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("terms")
+            flat = lists.flatten()
+            words = flat.field("term").dictionary_encode()
+            variants = batch.column("field_variant").dictionary_encode()
+            width = max(1, len(words.dictionary))
+            lengths = pc.list_value_length(lists).fill_null(0).to_numpy()
+            key = np.repeat(variants.indices.to_numpy().astype(np.int64), lengths) * width + words.indices.to_numpy()
+            df = np.bincount(key)
+            found = np.flatnonzero(df)
+            ctf = np.bincount(key, flat.field("tf").to_numpy())[found].astype(np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "field_variant": variants.dictionary.take(pa.array(found // width)),
+                    "term": words.dictionary.take(pa.array(found % width)),
+                    "df": pa.array(df[found], pa.int64()),
+                    "ctf": pa.array(ctf),
+                }
+            )
+
+    declared = "field_variant string, term string, df long, ctf long"
     return (
-        postings(doc_terms)
+        doc_terms.select("field_variant", "terms")
+        .mapInArrow(count, declared)
         .groupBy("field_variant", "term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
+        .agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
         .where(F.col("df") >= min_df)
     )
 

@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from claimweave.config import NegativeParams
+from claimweave.functions import text as tx
 from claimweave.functions.text import ENGLISH_STOP_WORDS
 from claimweave.operators import negatives as ng
 from claimweave.operators import positions as pos
@@ -198,6 +199,28 @@ def test_best_documents_are_those_of_plain_scoring(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_terms_are_counted_a_batch_at_a_time(spark):
+    """The rows that counting each array by column expressions gives, in one place for all variants, and no row per posting."""
+    texts = [("Kidney kidney stones", "the kidney\u00e9 stones, Stones"), (None, None), ("", "a b"), ("\u4e2d\u6587 the", None), ("x1 x2 x1", "x2")]
+    corpus = spark.createDataFrame([(f"d{i}", *t) for i, t in enumerate(texts)], "doc_id string, title string, abstract string")
+    corpus = corpus.coalesce(1)
+    counted = tfidf.document_terms(corpus)
+    tokens = tx.tokenize(corpus, {v: tx.clean(v) for v in ("title", "abstract")})
+    per_variant = {"title": F.col("title"), "abstract": F.col("abstract"), "title_abstract": F.concat("title", "abstract")}
+    want = [tokens.select("doc_id", F.lit(v).alias("v"), tx.count_terms(c).alias("terms")) for v, c in per_variant.items()]
+    assert rows(counted, "doc_id", "field_variant", "terms") == sorted(sum((rows(w, "*") for w in want), []))
+    assert counted.dtypes == [("doc_id", "string"), ("field_variant", "string"), ("terms", "array<struct<term:string,tf:int>>")]
+    with pytest.raises(KeyError):
+        tfidf.document_terms(corpus, ["body"])
+
+    plain = tfidf.postings(counted).groupBy("field_variant", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
+    statistics = tfidf.term_statistics(counted, 1)
+    assert rows(statistics, *plain.columns) == rows(plain, *plain.columns)
+    plan = statistics._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Generate" not in plan and "sort_array" not in plan
+    assert tfidf.term_statistics(counted.limit(0), 1).isEmpty()
+
+
 def test_many_claims_meet_documents_in_cells_of_bounded_size(spark, monkeypatch):
     """Blocks and chunks of a few rows, copies and uneven depths: the same rows as plain scoring, no claim on the driver."""
     rng = random.Random(4)
