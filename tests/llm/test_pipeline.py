@@ -104,3 +104,25 @@ def test_texts_reach_python_in_bounded_batches(spark, tmp_path, monkeypatch):
     sizes = [r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert sum(sizes) == 3500 and max(sizes) <= corpus_pipeline.TEXTS
     assert spark.conf.get(corpus_pipeline.ARROW_ROWS) == before
+
+
+def test_stages_bound_memory_also_when_called_one_by_one(spark, tmp_path):
+    """Stages are called without ``run`` as well; what they return is computed under the same settings."""
+    texts = [f"word{i} letters and some more words of text number {i}, all in one line. " * 3 for i in range(2500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    names = (corpus_pipeline.ARROW_ROWS, corpus_pipeline.VECTORED)
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for _, function in corpus_pipeline.STAGES[1:2] + corpus_pipeline.STAGES[4:]:
+            for name in names:
+                spark.conf.unset(name)
+            function(spark, docs, str(tmp_path))
+            assert int(spark.conf.get(names[0])) <= corpus_pipeline.TEXTS and spark.conf.get(names[1]) == "false"
+        spark.conf.unset(names[1])
+        spark.conf.set(names[0], "300")  # fewer than the bound stay
+        corpus_pipeline.encode(spark, docs, str(tmp_path))
+        assert spark.conf.get(names[0]) == "300"
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
