@@ -120,9 +120,30 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word", "key").agg(F.sum("f").alias("f"))
 
 
-def _pair_counts(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(pair, f)``: occurrences of neighbours that are both frequent, by a 64-bit key of the two."""
-    known = texts.sparkSession.sparkContext.broadcast(frequent)
+def _frequent_runs(codes: np.ndarray, keys: np.ndarray, frequent: np.ndarray, runs: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Where runs of 1, 2, ... words start that are all frequent, and the keys of the runs that may be.
+
+    ``runs`` has a bitmap of frequent pairs and perhaps one of frequent triples; what may be frequent is
+    a word longer, and both its parts are in the last of them.
+    """
+    often = _known(frequent, keys)
+    often[0] = False
+    chain, key = often[codes], keys[codes]
+    starts = [chain]
+    for k in range(1, len(runs) + 2):
+        chain = chain & np.r_[chain[1:], False]
+        at = np.flatnonzero(chain)
+        longer = _pair_key(key[at], keys[codes[at + k]])
+        if k <= len(runs):
+            chain[at], key[at] = _known(runs[k - 1], longer), longer
+            starts.append(chain)
+    return starts, longer
+
+
+def _run_counts(texts: DataFrame, frequent: np.ndarray, runs: list[np.ndarray]) -> DataFrame:
+    """``(run, f)``: occurrences of the runs a word longer than ``runs`` that may be frequent, by a 64-bit key."""
+    context = texts.sparkSession.sparkContext
+    known, met = context.broadcast(frequent), context.broadcast(runs)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -134,18 +155,14 @@ def _pair_counts(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
         def emit() -> pa.RecordBatch:
             keys, counts = merge()
             held.clear()
-            return pa.RecordBatch.from_pydict({"pair": pa.array(keys.view(np.int64)), "f": pa.array(counts)})
+            return pa.RecordBatch.from_pydict({"run": pa.array(keys.view(np.int64)), "f": pa.array(counts)})
 
         for batch in batches:
             for lang, group in _by_lang(batch):
                 words = _Words(lang)
                 codes = words.codes(group)
-                keys = np.array(words.keys, np.uint64)
-                often = _known(known.value, keys)
-                often[0] = False
-                both = often[codes[:-1]] & often[codes[1:]]
-                pair = _pair_key(keys[codes[:-1][both]], keys[codes[1:][both]])
-                held.append(np.unique(pair, return_counts=True))
+                _, run = _frequent_runs(codes, np.array(words.keys, np.uint64), known.value, met.value)
+                held.append(np.unique(run, return_counts=True))
                 if sum(len(k) for k, _ in held) > 8 * HELD:
                     held[:] = [merge()]
                     if len(held[0][0]) > 4 * HELD:
@@ -153,78 +170,96 @@ def _pair_counts(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
         if held:
             yield emit()
 
-    return texts.mapInArrow(scan, "pair long, f long").groupBy("pair").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(scan, "run long, f long").groupBy("run").agg(F.sum("f").alias("f"))
 
 
 def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(a * np.uint64(0xC2B2AE3D27D4EB4F) + b, 3)
 
 
-def _phrase_counts(texts: DataFrame, frequent: np.ndarray, runs: list[np.ndarray], sizes: range) -> DataFrame:
-    """``(lang, size, phrase, key, f)``: occurrences of the phrases whose parts may all be frequent.
+class _Phrases(dict):
+    """Numbers of one language's phrases by what comes before the last word and that word, with their counts.
+
+    Before it comes a word or the number of a phrase.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.texts: list[bytes] = []
+        self.sizes: list[int] = []
+        self.counts = np.zeros(0, np.int64)
+
+    def __missing__(self, parts: tuple[bytes | int, bytes]) -> int:
+        before, word = parts
+        self[parts] = number = len(self.texts)
+        one = isinstance(before, bytes)
+        self.texts.append((before if one else self.texts[before]) + b" " + word)
+        self.sizes.append(2 if one else self.sizes[before] + 1)
+        return number
+
+    def add(self, before: list, words: list[bytes], count: np.ndarray) -> np.ndarray:
+        """The numbers of some phrases, all different, that have occurred ``count`` times more."""
+        numbers = np.fromiter(map(self.__getitem__, zip(before, words, strict=True)), np.int64, len(words))
+        self.counts = np.pad(self.counts, (0, len(self.texts) - len(self.counts)))
+        self.counts[numbers] += count
+        return numbers
+
+
+def _phrase_scan(texts: DataFrame, frequent: np.ndarray, runs: list[np.ndarray], longest: int) -> DataFrame:
+    """``(lang, size, phrase, f)``: each task's occurrences of the phrases of 2 to ``longest`` words whose parts are all in ``runs``.
 
-    ``runs`` has a bitmap of frequent pairs and perhaps one of frequent triples; ``sizes`` begin with
-    the longest of these or later.
+    A task sums over its texts, so what it hands on follows the phrases, not their occurrences.
     """
     context = texts.sparkSession.sparkContext
     known, met = context.broadcast(frequent), context.broadcast(runs)
     width = len(runs) + 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, _Phrases] = {}
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for lang, phrases in held.items():
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": pa.array([lang] * len(phrases.texts), pa.string()),
+                        "size": pa.array(phrases.sizes, pa.int32()),
+                        "phrase": pa.array([t.decode("utf-8", "surrogatepass") for t in phrases.texts], pa.string()),
+                        "f": pa.array(phrases.counts),
+                    }
+                )
+            held.clear()
+
         for batch in batches:
             for lang, group in _by_lang(batch):
                 words = _Words(lang)
                 codes = words.codes(group)
-                keys = np.array(words.keys, np.uint64)
-                often = _known(known.value, keys)
-                often[0] = False
-                # chain: the places where a run of all sizes known so far starts, and the run's key.
-                chain, key = often[codes], keys[codes]
-                for k, bits in enumerate(met.value, 1):
-                    chain = chain & np.r_[chain[1:], False]
-                    at = np.flatnonzero(chain)
-                    longer = _pair_key(key[at], keys[codes[at + k]])
-                    chain[at], key[at] = _known(bits, longer), longer
-                at = np.flatnonzero(chain)
-                # name: the number of the phrase of the current size that starts at a place.
-                name = codes[at]
-                for size in range(2, sizes[-1] + 1):
-                    if size > width:
-                        go = chain[at + size - width]
-                        at, name = at[go], name[go]
+                starts, _ = _frequent_runs(codes, np.array(words.keys, np.uint64), known.value, met.value)
+                phrases = held.setdefault(lang, _Phrases())
+                # name: what stands for the phrase of the size before that starts at a place.
+                at = np.flatnonzero(starts[0])
+                name, named = codes[at], words.words
+                for size in range(2, longest + 1):
+                    go = starts[size - 1][at] if size <= width else starts[-1][at + size - width]
+                    at, name = at[go], name[go]
                     if not len(at):
                         break
-                    pair = name * len(words.words) + codes[at + size - 1]
-                    _, first, name, count = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-                    if size not in sizes:
-                        continue
-                    start = at[first]
-                    text = [b" ".join([words.words[c] for c in codes[s : s + size]]).decode("utf-8", "surrogatepass") for s in start]
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "lang": pa.array([lang] * len(text), pa.string()),
-                            "size": pa.array([size] * len(text), pa.int32()),
-                            "phrase": pa.array(text, pa.string()),
-                            "key": pa.array(_triple_key(key, keys[codes], start, size, width).view(np.int64)),
-                            "f": pa.array(count, pa.int64()),
-                        }
-                    )
-
-    counted = texts.mapInArrow(scan, "lang string, size int, phrase string, key long, f long")
-    return counted.groupBy("lang", "size", "phrase", "key").agg(F.sum("f").alias("f"))
-
-
-def _triple_key(key: np.ndarray, words: np.ndarray, start: np.ndarray, size: int, width: int) -> np.ndarray:
-    """Keys of phrases of three words that start at ``start``, given those of pairs; others need none."""
-    return _pair_key(key[start], words[start + 2]) if (size, width) == (3, 2) else np.zeros(len(start), np.uint64)
+                    pair, name, count = np.unique(name * len(words.words) + codes[at + size - 1], return_inverse=True, return_counts=True)
+                    before, last = np.divmod(pair, len(words.words))
+                    before, last = before.tolist(), last.tolist()
+                    named = phrases.add([named[b] for b in before], [words.words[c] for c in last], count).tolist()
+                if sum(len(p.texts) for p in held.values()) > HELD:
+                    yield from emit()
+        yield from emit()
+
+    return texts.mapInArrow(scan, "lang string, size int, phrase string, f long")
 
 
 def count_streams(docs: DataFrame, p: PhraseParams, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(lang, n)``, frequent words ``(lang, word, f)`` and frequent phrases ``(lang, size, phrase, f)``.
 
     Four scans. A phrase is frequent only if all its parts are, so the second counts pairs of
-    frequent words, the third phrases of two and three words linked by frequent pairs, and the
-    last longer ones made of frequent triples. What is known to be frequent reaches the tasks as
+    frequent words, the third triples linked by frequent pairs, both by keys alone, and the last
+    the phrases made of what is frequent by then. What is known to be frequent reaches the tasks as
     bitmaps of fixed size, which may let too much through but never too little; counts
     themselves are exact.
     """
@@ -234,14 +269,11 @@ def count_streams(docs: DataFrame, p: PhraseParams, lang_col: str, text_col: str
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     words = counts.where(often)
     frequent = _bitmap(words, "key")
-    pairs = _bitmap(_pair_counts(texts, frequent).where(often), "pair")
-    phrases = _phrase_counts(texts, frequent, [pairs], range(2, min(3, p.longest) + 1)).where(often)
-    phrases = stage(phrases, "phrase-counts")
-    if p.longest > 3:
-        triples = _bitmap(phrases.where("size = 3"), "key")
-        longer = _phrase_counts(texts, frequent, [pairs, triples], range(4, p.longest + 1)).where(often)
-        phrases = phrases.unionByName(stage(longer, "phrase-counts"))
-    return totals, words.select("lang", "word", "f"), phrases.drop("key")
+    runs: list[np.ndarray] = []
+    for _ in range(2, min(3, p.longest) + 1):
+        runs.append(_bitmap(_run_counts(texts, frequent, list(runs)).where(often), "run"))
+    phrases = _phrase_scan(texts, frequent, runs, p.longest).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    return totals, words.select("lang", "word", "f"), stage(phrases.where(often), "phrase-counts")
 
 
 def _nested_counts(phrases: DataFrame, longest: int, order: Callable[[str], Column]) -> DataFrame:

@@ -84,6 +84,21 @@ def test_no_phrases(spark):
     assert collocations.mine_phrases(frame(spark, ODD[:3])).count() == 0
 
 
+def test_a_task_hands_on_each_phrase_once(spark):
+    rows = [(i, f"the red house on the hill. rare{i} red house", "en") for i in range(400)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        docs = frame(spark, rows, spread=False).coalesce(2).select("lang", "text")
+        full = np.full(collocations.BITS // 8, 255, np.uint8)
+        got = collocations._phrase_scan(docs, full, [full, full], 3).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    common = [r for r in got if "rare" not in r.phrase]
+    assert len(common) <= 2 * 9 and sum(r.f for r in common if r.phrase == "red house") == 800
+    assert sum(r.f for r in got if r["size"] == 3) == 400 * 5
+
+
 # --- substrings --------------------------------------------------------------------------------
 
 
