@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -273,6 +274,43 @@ def test_a_cell_keeps_the_best_of_plain_scoring(monkeypatch, chunk):
         assert np.allclose(score[claim == c], scores[c, want], atol=1e-9)
 
 
+def test_blocks_of_claims_are_sent_and_nothing_is_exchanged(spark, monkeypatch):
+    """Whatever the number of blocks, documents are scored where they are read and no row is copied for a block."""
+    words = {"title": (["a", "b"], [1.0, 2.0])}
+    entries = "array(struct('a' AS term, 1.0D AS value), struct('b' AS term, cast(id % 3 AS double) + 1 AS value)) AS terms"
+    rows_ = spark.range(40).selectExpr("'title' AS field_variant", "concat('x', id) AS id", entries)
+    documents = stage(tfidf.sparse_topk.numbered(rows_, words, unit=True).coalesce(2).sortWithinPartitions("field_variant", "id"), "n")
+    claims = stage(tfidf.sparse_topk.numbered(rows_, words, unit=False).withColumn("depth", F.lit(2).cast("long")), "c")
+    assert tfidf.sparse_topk.in_runs(documents, 10**9).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    found = {}
+    for size in (1000, 10):
+        monkeypatch.setattr(tfidf.sparse_topk, "CLAIM_BLOCK", size)
+        plans, got = [], []
+        for scored in tfidf.sparse_topk.scored_blocks(documents, claims, 6):
+            plans.append(scored._jdf.queryExecution().executedPlan().toString())
+            got += scored.where("depth = 2").collect()
+        assert len(plans) == 40 // min(size, 40)
+        assert not any("Exchange" in p or "Join" in p for p in plans)
+        found[size] = sorted(map(tuple, got))
+        assert {r.query_id for r in got} == {f"x{i}" for i in range(40)}
+    assert found[10] == found[1000]
+
+
+def test_a_run_ends_where_ids_or_the_variant_start_anew():
+    def batch(*rows):
+        return pa.RecordBatch.from_pylist([{"field_variant": v, "id": i} for v, i in rows], pa.schema([("field_variant", pa.string()), ("id", pa.string())]))
+
+    batches = [batch(("a", "d1"), ("a", "d2")), batch(), batch(("a", "d2"), ("a", "\u00e9"), ("b", "d1")), batch(("b", "d0"), ("b", None))]
+    got = [(v, fresh, rows.column("id").to_pylist()) for v, fresh, rows in tfidf.sparse_topk._runs(iter(batches))]
+    assert got == [
+        ("a", True, ["d1", "d2"]),
+        ("a", False, ["d2", "\u00e9"]),
+        ("b", True, ["d1"]),
+        ("b", True, ["d0"]),
+        ("b", True, [None]),
+    ]
+
+
 def test_a_full_claim_keeps_the_first_of_equal_documents():
     """Copies that come later never wait to be sorted, and a term that cannot help is looked up for candidates alone."""
     top = tfidf.sparse_topk.CellTopK(np.array([2]), np.array([0, 1]), np.array([0.9, 0.1]), np.array([2]), 6)

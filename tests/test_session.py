@@ -1,3 +1,5 @@
+import re
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -31,6 +33,24 @@ def test_staged_tables_keep_schema_and_rows(spark):
     assert stage(df.where("false"), "empty").count() == 0
 
 
+def test_what_a_staged_table_shuffled_does_not_stay(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\d+_", files.getAllFiles().mkString(" ")))
+
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    wide = spark.range(5000).selectExpr("md5(string(id)) AS x").groupBy("x").count()
+    tables = run_together(spark, lambda: stage(wide, "a"), lambda: stage(wide, "b"))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(key) == setting
+    assert [t.count() for t in tables] == [5000, 5000]
+
+
 def test_staged_tables_can_be_cleared(spark):
     staged = stage(spark.range(3), "gone")
     assert staged.count() == 3
