@@ -98,39 +98,33 @@ def postings(doc_terms: DataFrame) -> DataFrame:
 def term_statistics(doc_terms: DataFrame, min_df: int = 2) -> DataFrame:
     """Document frequency ``df`` and corpus frequency ``ctf`` of the terms kept by ``min_df``.
 
-    Each batch of documents is counted before its terms become rows, so what is grouped is some
-    ten times fewer rows than there are postings.
+    Each batch of documents is counted before its terms become rows, and a term is one row for all
+    variants until it is summed up, as they share most terms.
     """
+    names = pa.array(FIELD_VARIANTS)
+    counts = [f"{c}_{v}" for c in ("df", "ctf") for v in FIELD_VARIANTS]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("terms")
             flat = lists.flatten()
             words = flat.field("term").dictionary_encode()
-            variants = batch.column("field_variant").dictionary_encode()
-            width = max(1, len(words.dictionary))
+            n = len(words.dictionary)
+            variant = pc.index_in(batch.column("field_variant"), value_set=names).to_numpy()
             lengths = pc.list_value_length(lists).fill_null(0).to_numpy()
-            key = np.repeat(variants.indices.to_numpy().astype(np.int64), lengths) * width + words.indices.to_numpy()
-            df = np.bincount(key)
-            found = np.flatnonzero(df)
-            ctf = np.bincount(key, flat.field("tf").to_numpy())[found].astype(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "field_variant": variants.dictionary.take(pa.array(found // width)),
-                    "term": words.dictionary.take(pa.array(found % width)),
-                    "df": pa.array(df[found], pa.int64()),
-                    "ctf": pa.array(ctf),
-                }
-            )
-
-    declared = "field_variant string, term string, df long, ctf long"
-    return (
-        doc_terms.select("field_variant", "terms")
-        .mapInArrow(count, declared)
-        .groupBy("field_variant", "term")
-        .agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
-        .where(F.col("df") >= min_df)
-    )
+            key = np.repeat(variant.astype(np.int64) * n, lengths) + words.indices.to_numpy()
+            size = len(names) * n
+            df = np.bincount(key, minlength=size)
+            ctf = np.bincount(key, flat.field("tf").to_numpy(), size).astype(np.int64)
+            summed = np.concatenate([df, ctf]).reshape(len(counts), n)
+            yield pa.RecordBatch.from_arrays([words.dictionary, *map(pa.array, summed)], ["term", *counts])
+
+    declared = ", ".join(["term string", *[f"{c} long" for c in counts]])
+    summed = doc_terms.select("field_variant", "terms").mapInArrow(count, declared)
+    summed = summed.groupBy("term").agg(*[F.sum(c).alias(c) for c in counts])
+    each = [F.struct(F.col(f"df_{v}").alias("df"), F.col(f"ctf_{v}").alias("ctf")).alias(v) for v in FIELD_VARIANTS]
+    told = summed.select("term", *each).unpivot("term", list(FIELD_VARIANTS), "field_variant", "_told")
+    return told.select("field_variant", "term", "_told.df", "_told.ctf").where(F.col("df") >= max(1, min_df))
 
 
 def cap_vocabulary(stats: DataFrame, max_features: int) -> DataFrame:

@@ -222,6 +222,23 @@ def test_terms_are_counted_a_batch_at_a_time(spark):
     assert tfidf.term_statistics(counted.limit(0), 1).isEmpty()
 
 
+def test_a_term_is_one_row_for_all_variants_until_it_is_summed_up(spark):
+    """A third of the rows or so to exchange; a variant without a term has no row for it, nor has one below ``min_df``."""
+    texts = [("stone kidney", "stone stone"), ("stone", "liver"), ("", "liver kidney"), ("", "")]
+    corpus = spark.createDataFrame([(f"d{i}", *t) for i, t in enumerate(texts)], "doc_id string, title string, abstract string")
+    counted = stage(tfidf.document_terms(corpus.coalesce(1)), "t")
+    columns = ("field_variant", "term", "df", "ctf")
+    assert rows(tfidf.term_statistics(counted), *columns) == [
+        ("abstract", "liver", 2, 2), ("title", "stone", 2, 2), ("title_abstract", "kidney", 2, 2),
+        ("title_abstract", "liver", 2, 2), ("title_abstract", "stone", 2, 4),
+    ]
+    assert len(rows(tfidf.term_statistics(counted, 0), *columns)) == 8
+    statistics = tfidf.term_statistics(tfidf.document_terms(corpus, ["abstract"]), 1)
+    assert {r.field_variant for r in statistics.collect()} == {"abstract"}
+    plan = statistics._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(([^)]*)\)", plan)[0].startswith("term#")
+
+
 def test_many_claims_meet_documents_in_cells_of_bounded_size(spark, monkeypatch):
     """Blocks and chunks of a few rows, copies and uneven depths: the same rows as plain scoring, no claim on the driver."""
     rng = random.Random(4)
